@@ -38,15 +38,14 @@ def return_flags(discharges: DataFrame, arrivals: DataFrame, key: str, discharge
         raise ValueError("window must be at least one day")
     a = (arrivals.select(F.col(key).alias("_rk"), F.col(arrival_time).cast("timestamp_ntz").alias("_ra"))
                  .where(F.col("_rk").isNotNull() & F.col("_ra").isNotNull()))
-    per_day = (a.groupBy("_rk", F.to_date("_ra").alias("_rd"))
-                .agg(F.min("_ra").alias("_first"), F.max("_ra").alias("_last")))
-    q_days = (discharges.select(F.col(key).alias("_rk"), F.to_date(F.col(discharge_time)).alias("_rd"))
-                        .where(F.col("_rk").isNotNull() & F.col("_rd").isNotNull())
-                        .withColumn("_first", F.lit(None).cast("timestamp_ntz"))
-                        .withColumn("_last", F.lit(None).cast("timestamp_ntz")))
-    days_tbl = (per_day.unionByName(q_days)
-                       .groupBy("_rk", "_rd")
-                       .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last")))
+    q_days = (discharges.select(F.col(key).alias("_rk"),
+                                F.col(discharge_time).cast("timestamp_ntz").alias("_qt"))
+                        .where(F.col("_rk").isNotNull() & F.col("_qt").isNotNull())
+                        .select("_rk", F.lit(None).cast("timestamp_ntz").alias("_ra"), "_qt"))
+    # one aggregation over arrivals and discharge days together (partial aggregation map-side)
+    days_tbl = (a.withColumn("_qt", F.col("_ra")).unionByName(q_days)
+                 .groupBy("_rk", F.to_date("_qt").alias("_rd"))
+                 .agg(F.min("_ra").alias("_first"), F.max("_ra").alias("_last")))
     later_days = Window.partitionBy("_rk").orderBy(F.col("_rd").desc()).rowsBetween(Window.unboundedPreceding, -1)
     days_tbl = days_tbl.select("_rk", "_rd", "_last", F.min("_first").over(later_days).alias("_next"))
 

@@ -16,6 +16,16 @@ from ..operators.readmission import return_flags
 MONEY_SUM = "decimal(22,2)"
 
 
+def final_order(df: DataFrame, *cols) -> DataFrame:
+    """Sort a report's result for presentation.
+
+    Report results are bounded by dimension sizes (months x specialties x
+    types), so one sorted partition is cheap and skips the sampling job a
+    global range sort needs; the aggregation before it stays parallel.
+    """
+    return df.repartition(1).sortWithinPartitions(*cols)
+
+
 def _provider_specialty(src) -> DataFrame:
     """provider_id -> specialty_name (J1 chain providers -> specialties)."""
     s = src["specialties"].select(F.col("specialty_id").alias("_s_id"), "specialty_name")
@@ -32,7 +42,7 @@ def q1_source(src) -> DataFrame:
                       "specialty_name", "encounter_type")
              .agg(F.count("encounter_id").alias("total_encounters"),
                   F.count_distinct("patient_id").alias("unique_patients"))
-             .orderBy("encounter_month", "specialty_name"))
+             .transform(lambda d: final_order(d, "encounter_month", "specialty_name")))
 
 
 def code_pairs(left: DataFrame, right: DataFrame, key: str, left_code: str, right_code: str,
@@ -76,7 +86,7 @@ def readmission_summary(rows: DataFrame, group_col: str, patient_col: str) -> Da
                  F.sum(F.when(F.col(patient_col).isNotNull(), F.col("_w")).otherwise(0))
                   .cast("bigint").alias("readmitted_patients"))
             .withColumn("readmission_rate", rate_percent("readmitted_patients", "total_discharges"))
-            .orderBy(F.desc_nulls_last("readmission_rate"), F.asc(group_col)))
+            .transform(lambda d: final_order(d, F.desc_nulls_last("readmission_rate"), F.asc(group_col))))
 
 
 def _inpatient_discharges(src) -> DataFrame:
@@ -128,4 +138,4 @@ def q4_source(src) -> DataFrame:
              .join(ps, F.col("provider_id") == ps._p_id)
              .groupBy("billing_month", "specialty_name")
              .agg(F.sum("_rev").cast(MONEY_SUM).alias("total_revenue"))
-             .orderBy("billing_month", F.desc("total_revenue")))
+             .transform(lambda d: final_order(d, "billing_month", F.desc("total_revenue"))))
