@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import catalog
 from . import reports_source as RS
 from . import reports_star as RM
+from . import quality as K
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +62,19 @@ def queries() -> dict[str, Query]:
         "procedure_category_report": _mart(RM.procedure_category_report),
         "primary_diagnosis_counts": _mart(RM.primary_diagnosis_counts),
     }
+    both = lambda fn: (lambda spark, sf_dir: fn(catalog.sources(spark, sf_dir),
+                                                 catalog.mart(spark, sf_dir)))
+    q.update({
+        "dq_key_uniqueness": both(lambda s, m: K.key_uniqueness(K.all_tables(s, m))),
+        "dq_orphan_keys": both(lambda s, m: K.orphan_keys(K.all_tables(s, m))),
+        "dq_required_columns": both(lambda s, m: K.required_columns(K.all_tables(s, m))),
+        "dq_calendar_coverage": _mart(K.calendar_coverage),
+        "dq_fact_grain": _mart(K.fact_grain),
+        "dq_reconciliation": both(K.reconciliation),
+        "dq_dropped_encounters": both(K.dropped_encounters),
+        "dq_encounter_type_domain": _src(K.encounter_type_domain),
+        "dq_string_lengths": both(lambda s, m: K.string_lengths(K.all_tables(s, m))),
+    })
     for t in MART_TABLES:
         q[t] = _table(t)
     for t in SOURCE_TABLES:
