@@ -10,6 +10,7 @@ from . import catalog
 from . import reports_source as RS
 from . import reports_star as RM
 from . import quality as K
+from . import refresh as R
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +76,9 @@ def queries() -> dict[str, Query]:
         "dq_encounter_type_domain": _src(K.encounter_type_domain),
         "dq_string_lengths": both(lambda s, m: K.string_lengths(K.all_tables(s, m))),
     })
+    for name in ("incremental_facts", "scd1_upsert_patient", "insert_ignore_patient", "scd2_patient",
+                 "inferred_patients", "calendar_extend", "late_window_refresh", "unknown_member_fact"):
+        q[name] = both(getattr(R, name))
     for t in MART_TABLES:
         q[t] = _table(t)
     for t in SOURCE_TABLES:
