@@ -11,6 +11,7 @@ from . import reports_source as RS
 from . import reports_star as RM
 from . import quality as K
 from . import refresh as R
+from ..streaming import feed as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +80,8 @@ def queries() -> dict[str, Query]:
     for name in ("incremental_facts", "scd1_upsert_patient", "insert_ignore_patient", "scd2_patient",
                  "inferred_patients", "calendar_extend", "late_window_refresh", "unknown_member_fact"):
         q[name] = both(getattr(R, name))
+    q["stream_fact_load"] = ST.stream_fact_load
+    q["stream_monthly"] = ST.stream_monthly
     for t in MART_TABLES:
         q[t] = _table(t)
     for t in SOURCE_TABLES:
