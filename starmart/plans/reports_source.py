@@ -139,3 +139,33 @@ def q4_source(src) -> DataFrame:
              .groupBy("billing_month", "specialty_name")
              .agg(F.sum("_rev").cast(MONEY_SUM).alias("total_revenue"))
              .transform(lambda d: final_order(d, "billing_month", F.desc("total_revenue"))))
+
+
+def register_views(src: dict[str, DataFrame], tag: str) -> dict[str, str]:
+    """Temp views of the source frames for the SQL API; names carry ``tag`` so
+    several loads can live in one session."""
+    names = {}
+    for t, df in src.items():
+        names[t] = f"sm_{t}_{tag}"
+        df.createOrReplaceTempView(names[t])
+    return names
+
+
+def scalar_subquery_counts(src, tag: str = "src") -> DataFrame:
+    """Per encounter, correlated scalar subqueries in Spark SQL.
+
+    Catalyst decorrelates each subquery into an aggregate plus a left outer join
+    (checked with ``explain``), so this is the same plan as the pre-aggregated
+    joins of the fact load, written the way the design notes write it.
+    """
+    v = register_views(src, tag)
+    spark = src["encounters"].sparkSession
+    return spark.sql(f"""
+        SELECT e.encounter_id,
+               (SELECT COUNT(*) FROM {v['encounter_diagnoses']} ed WHERE ed.encounter_id = e.encounter_id)
+                 AS diagnosis_count,
+               (SELECT COUNT(*) FROM {v['encounter_procedures']} ep WHERE ep.encounter_id = e.encounter_id)
+                 AS procedure_count,
+               (SELECT CAST(SUM(b.allowed_amount) AS DECIMAL(22,2)) FROM {v['billing']} b
+                 WHERE b.encounter_id = e.encounter_id) AS total_allowed_amount
+        FROM {v['encounters']} e""")
