@@ -7,24 +7,56 @@ k with ``t < a <= t + N days`` (``within``), and is there any arrival with
 The reference answers with a self-join on the patient, which grows with the
 square of a patient's encounters.  Here:
 
-1. arrivals are pre-aggregated to one row per (k, day): first and last
-   arrival of the day (map-side combine, skew-safe);
-2. discharge days are added as empty rows, so every discharge finds its day;
-3. per k, a running ``min`` over *later* days gives the first arrival after
+1. arrivals and discharge days are aggregated together to one row per
+   (k, day) holding the first and last arrival of the day (map-side partial
+   aggregation, so a hot key is combined before the shuffle);
+2. per k, a running ``min`` over *later* days gives the first arrival after
    the day (a growing frame, linear per group; the group holds at most one row
    per calendar day of that key, a bound set by the date span, not by volume);
-4. the discharge rows look their (k, day) row up with an equi-join on a
+3. the discharge rows look their (k, day) row up with an equi-join on a
    unique key (AQE splits a hot key on the discharge side).
 
 Then ``later  = last_same_day > t  or  next_day_first is not null`` and
 ``within = last_same_day > t  or  next_day_first <= t + N days``: an arrival
 later on the same day is always inside a window of at least one day.
+
+The operator is a SQL builder (CTEs over any two relations); ``return_flags``
+wraps it for DataFrames.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+import uuid
+
+from pyspark.sql import DataFrame
+
+
+def return_flags_sql(discharges: str, arrivals: str, key: str, discharge_time: str, arrival_time: str,
+                     days: int = 30, out: str = "flagged") -> str:
+    """CTE definitions (no leading WITH) ending in ``out``: the discharge rows plus
+    ``later`` and ``within``.  ``discharges`` / ``arrivals`` name relations."""
+    if int(days) < 1:
+        raise ValueError("window must be at least one day")
+    t = f"CAST(q.{discharge_time} AS TIMESTAMP_NTZ)"
+    return f"""
+{out}_days AS (
+  SELECT _rk, _rd, _last,
+         MIN(_first) OVER (PARTITION BY _rk ORDER BY _rd DESC
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _next
+  FROM (SELECT _rk, to_date(_at) AS _rd, MIN(_ra) AS _first, MAX(_ra) AS _last
+        FROM (SELECT {key} AS _rk, CAST({arrival_time} AS TIMESTAMP_NTZ) AS _ra,
+                     CAST({arrival_time} AS TIMESTAMP_NTZ) AS _at
+              FROM {arrivals} WHERE {key} IS NOT NULL AND {arrival_time} IS NOT NULL
+              UNION ALL
+              SELECT {key}, CAST(NULL AS TIMESTAMP_NTZ), CAST({discharge_time} AS TIMESTAMP_NTZ)
+              FROM {discharges} WHERE {key} IS NOT NULL AND {discharge_time} IS NOT NULL)
+        GROUP BY _rk, to_date(_at))),
+{out} AS (
+  SELECT q.*,
+         COALESCE(d._last > {t}, FALSE) OR d._next IS NOT NULL AS later,
+         COALESCE(d._last > {t}, FALSE) OR COALESCE(d._next <= {t} + INTERVAL {int(days)} DAYS, FALSE) AS within
+  FROM {discharges} q
+  LEFT JOIN {out}_days d ON q.{key} = d._rk AND to_date(q.{discharge_time}) = d._rd)"""
 
 
 def return_flags(discharges: DataFrame, arrivals: DataFrame, key: str, discharge_time: str,
@@ -34,26 +66,9 @@ def return_flags(discharges: DataFrame, arrivals: DataFrame, key: str, discharge
     Times may be DATE or TIMESTAMP_NTZ (dates count as midnight).  Rows with a
     null key or time get ``later = within = false``.
     """
-    if days < 1:
-        raise ValueError("window must be at least one day")
-    a = (arrivals.select(F.col(key).alias("_rk"), F.col(arrival_time).cast("timestamp_ntz").alias("_ra"))
-                 .where(F.col("_rk").isNotNull() & F.col("_ra").isNotNull()))
-    q_days = (discharges.select(F.col(key).alias("_rk"),
-                                F.col(discharge_time).cast("timestamp_ntz").alias("_qt"))
-                        .where(F.col("_rk").isNotNull() & F.col("_qt").isNotNull())
-                        .select("_rk", F.lit(None).cast("timestamp_ntz").alias("_ra"), "_qt"))
-    # one aggregation over arrivals and discharge days together (partial aggregation map-side)
-    days_tbl = (a.withColumn("_qt", F.col("_ra")).unionByName(q_days)
-                 .groupBy("_rk", F.to_date("_qt").alias("_rd"))
-                 .agg(F.min("_ra").alias("_first"), F.max("_ra").alias("_last")))
-    later_days = Window.partitionBy("_rk").orderBy(F.col("_rd").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    days_tbl = days_tbl.select("_rk", "_rd", "_last", F.min("_first").over(later_days).alias("_next"))
-
-    t = F.col(discharge_time).cast("timestamp_ntz")
-    q = discharges.withColumn("_rk_q", F.col(key)).withColumn("_rd_q", F.to_date(F.col(discharge_time)))
-    j = q.join(days_tbl, (F.col("_rk_q") == F.col("_rk")) & (F.col("_rd_q") == F.col("_rd")), "left")
-    same_day = F.coalesce(F.col("_last") > t, F.lit(False))
-    later = same_day | F.col("_next").isNotNull()
-    within = same_day | F.coalesce(F.col("_next") <= F.timestamp_add("DAY", F.lit(days), t), F.lit(False))
-    return (j.withColumn("later", later).withColumn("within", within)
-             .drop("_rk_q", "_rd_q", "_rk", "_rd", "_last", "_next"))
+    tag = uuid.uuid4().hex[:8]
+    dv, av = f"sm_dis_{tag}", f"sm_arr_{tag}"
+    discharges.createOrReplaceTempView(dv)
+    arrivals.createOrReplaceTempView(av)
+    ctes = return_flags_sql(dv, av, key, discharge_time, arrival_time, days)
+    return discharges.sparkSession.sql(f"WITH {ctes.strip()} SELECT * FROM flagged")

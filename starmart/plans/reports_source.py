@@ -1,171 +1,132 @@
-"""Report queries on the normalised source model (R1a, R2a, R3a, R3d, R4a).
+"""Report queries on the normalised source model (R1a, R2a, R3a, R3d, R4a, J17).
 
-``src`` is the dict of ten source frames.  Names of result columns follow the
-reference queries; counts are BIGINT, money DECIMAL(22,2), rates DECIMAL(10,4).
+``src`` is the dict of ten source frames; each report is one Spark SQL
+statement over temp views of them (``{table}`` placeholders).  Result columns
+keep the reference's names; counts are BIGINT, money DECIMAL(22,2), rates
+DECIMAL(10,4) with MySQL's four-decimal division.
+
+Result order: a report result is bounded by dimension sizes (months x
+specialties x types), so it is gathered into one partition and sorted there
+(``REPARTITION(1)`` + ``SORT BY``), which skips the sampling job of a global
+range sort while every aggregation before it stays parallel.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions import dates
-from ..functions.numeric import rate_percent
-from ..operators.readmission import return_flags
+from ..functions.numeric import rate_percent_text
+from ..operators.pairs import code_pairs_sql
+from ..operators.readmission import return_flags_sql
+from .views import sql
 
 MONEY_SUM = "decimal(22,2)"
 
 
-def final_order(df: DataFrame, *cols) -> DataFrame:
-    """Sort a report's result for presentation.
-
-    Report results are bounded by dimension sizes (months x specialties x
-    types), so one sorted partition is cheap and skips the sampling job a
-    global range sort needs; the aggregation before it stays parallel.
-    """
-    return df.repartition(1).sortWithinPartitions(*cols)
-
-
-def _provider_specialty(src) -> DataFrame:
-    """provider_id -> specialty_name (J1 chain providers -> specialties)."""
-    s = src["specialties"].select(F.col("specialty_id").alias("_s_id"), "specialty_name")
-    p = src["providers"]
-    return p.join(s, p.specialty_id == s._s_id).select(F.col("provider_id").alias("_p_id"), "specialty_name")
+def ordered(select: str, sort_by: str) -> str:
+    """Gather a bounded report result into one partition and sort it there."""
+    return f"SELECT /*+ REPARTITION(1) */ * FROM ({select}) SORT BY {sort_by}"
 
 
 def q1_source(src) -> DataFrame:
-    """Monthly encounters and unique patients by specialty and type."""
-    e = src["encounters"]
-    ps = _provider_specialty(src)
-    return (e.join(ps, e.provider_id == ps._p_id)
-             .groupBy(dates.month_label(F.col("encounter_date")).alias("encounter_month"),
-                      "specialty_name", "encounter_type")
-             .agg(F.count("encounter_id").alias("total_encounters"),
-                  F.count_distinct("patient_id").alias("unique_patients"))
-             .transform(lambda d: final_order(d, "encounter_month", "specialty_name")))
-
-
-def code_pairs(left: DataFrame, right: DataFrame, key: str, left_code: str, right_code: str,
-               k: int | None = 10) -> DataFrame:
-    """COUNT(*) of the many-to-many join ``left JOIN right USING (key)`` grouped by both codes.
-
-    Each side is first reduced to (key, code, rows); the pair count of a cell is
-    the sum of ``rows_left * rows_right``.  This is exact and shuffles at most one
-    row per (key, code) per side instead of one per junction row.
-    """
-    l = left.groupBy(key, left_code).agg(F.count(F.lit(1)).alias("_nl"))
-    r = right.groupBy(key, right_code).agg(F.count(F.lit(1)).alias("_nr"))
-    out = (l.join(r, key)
-            .groupBy(left_code, right_code)
-            .agg(F.sum(F.col("_nl") * F.col("_nr")).cast("bigint").alias("combination_count"))
-            .orderBy(F.desc("combination_count"), F.asc(left_code), F.asc(right_code)))
-    return out.limit(k) if k else out
+    """Monthly encounters and unique patients by specialty and type."""
+    return sql(src, ordered("""
+        SELECT date_format(e.encounter_date, 'yyyy-MM') AS encounter_month, s.specialty_name, e.encounter_type,
+               COUNT(e.encounter_id) AS total_encounters, COUNT(DISTINCT e.patient_id) AS unique_patients
+        FROM {encounters} e
+        JOIN {providers} p ON e.provider_id = p.provider_id
+        JOIN {specialties} s ON p.specialty_id = s.specialty_id
+        GROUP BY date_format(e.encounter_date, 'yyyy-MM'), s.specialty_name, e.encounter_type""",
+        "encounter_month, specialty_name"))
 
 
 def q2_source(src, k: int = 10) -> DataFrame:
     """Top-k diagnosis/procedure code pairs (ties broken by both codes)."""
-    d = src["diagnoses"].select(F.col("diagnosis_id").alias("_d_id"), "icd10_code")
-    pr = src["procedures"].select(F.col("procedure_id").alias("_p_id"), "cpt_code")
-    ed = src["encounter_diagnoses"]
-    ep = src["encounter_procedures"]
-    left = ed.join(d, ed.diagnosis_id == d._d_id).select("encounter_id", "icd10_code")
-    right = ep.join(pr, ep.procedure_id == pr._p_id).select("encounter_id", "cpt_code")
-    return code_pairs(left, right, "encounter_id", "icd10_code", "cpt_code", k)
+    return sql(src, """
+        WITH dx AS (SELECT ed.encounter_id, d.icd10_code FROM {encounter_diagnoses} ed
+                    JOIN {diagnoses} d ON ed.diagnosis_id = d.diagnosis_id),
+             px AS (SELECT ep.encounter_id, pr.cpt_code FROM {encounter_procedures} ep
+                    JOIN {procedures} pr ON ep.procedure_id = pr.procedure_id)
+        """ + code_pairs_sql("dx", "px", "encounter_id", "icd10_code", "cpt_code", k))
 
 
-def readmission_summary(rows: DataFrame, group_col: str, patient_col: str) -> DataFrame:
+def readmission_summary_sql(rows: str, group_col: str, patient_col: str) -> str:
     """count(distinct patient) and count(distinct patient with a return), per group.
 
-    Two plain aggregations instead of two DISTINCT aggregates: first one row per
+    Two plain aggregations instead of two DISTINCT aggregates: one row per
     (group, patient) with ``max(within)``, then counts per group.
     """
-    per_patient = (rows.groupBy(group_col, patient_col)
-                       .agg(F.max(F.col("within").cast("int")).alias("_w")))
-    return (per_patient.groupBy(group_col)
-            .agg(F.count(patient_col).alias("total_discharges"),
-                 F.sum(F.when(F.col(patient_col).isNotNull(), F.col("_w")).otherwise(0))
-                  .cast("bigint").alias("readmitted_patients"))
-            .withColumn("readmission_rate", rate_percent("readmitted_patients", "total_discharges"))
-            .transform(lambda d: final_order(d, F.desc_nulls_last("readmission_rate"), F.asc(group_col))))
-
-
-def _inpatient_discharges(src) -> DataFrame:
-    e = src["encounters"]
-    return (e.where((F.col("encounter_type") == "Inpatient") & F.col("discharge_date").isNotNull())
-             .select("patient_id", "discharge_date", "department_id", "provider_id"))
+    readm = f"CAST(SUM(CASE WHEN {patient_col} IS NOT NULL THEN _w ELSE 0 END) AS BIGINT)"
+    total = f"COUNT({patient_col})"
+    return ordered(f"""
+        SELECT {group_col}, {total} AS total_discharges, {readm} AS readmitted_patients,
+               {rate_percent_text(readm, total)} AS readmission_rate
+        FROM (SELECT {group_col}, {patient_col}, MAX(CAST(within AS INT)) AS _w
+              FROM {rows} GROUP BY {group_col}, {patient_col})
+        GROUP BY {group_col}""", f"readmission_rate DESC NULLS LAST, {group_col}")
 
 
-def _flagged(src, days: int) -> DataFrame:
-    arrivals = src["encounters"].select("patient_id", "encounter_date")
-    return return_flags(_inpatient_discharges(src), arrivals, "patient_id", "discharge_date",
-                        "encounter_date", days)
+_SOURCE_FLAGS = """
+WITH dis AS (SELECT patient_id, discharge_date, department_id, provider_id FROM {encounters}
+             WHERE encounter_type = 'Inpatient' AND discharge_date IS NOT NULL),
+     arr AS (SELECT patient_id, encounter_date FROM {encounters}),"""
 
 
 def q3_source(src, days: int = 30) -> DataFrame:
-    """Readmission by specialty, discharges attributed through the department.
+    """Readmission by specialty, discharges attributed through the department.
 
     The department join fans out to every provider of the department; only the
     distinct (department, specialty) pairs matter for distinct counts (rewrite 1).
     """
-    s = src["specialties"].select(F.col("specialty_id").alias("_s_id"), "specialty_name")
-    dept_spec = (src["providers"].select(F.col("department_id").alias("_dep"), "specialty_id").distinct()
-                 .join(s, F.col("specialty_id") == F.col("_s_id"))
-                 .select("_dep", "specialty_name").distinct())
-    f = _flagged(src, days)
-    rows = f.join(dept_spec, f.department_id == dept_spec._dep).select("specialty_name", "patient_id", "within")
-    return readmission_summary(rows, "specialty_name", "patient_id")
+    return sql(src, _SOURCE_FLAGS + return_flags_sql("dis", "arr", "patient_id", "discharge_date",
+                                                     "encounter_date", days) + """,
+        dept_spec AS (SELECT DISTINCT p.department_id, s.specialty_name
+                      FROM (SELECT DISTINCT department_id, specialty_id FROM {providers}) p
+                      JOIN {specialties} s ON p.specialty_id = s.specialty_id),
+        attributed AS (SELECT ds.specialty_name, f.patient_id, f.within
+                 FROM flagged f JOIN dept_spec ds ON f.department_id = ds.department_id)
+        """ + readmission_summary_sql("attributed", "specialty_name", "patient_id"))
 
 
 def q3_source_provider(src, days: int = 30) -> DataFrame:
     """R3d: as R3a, attributed through the encounter's own provider."""
-    ps = _provider_specialty(src)
-    f = _flagged(src, days)
-    rows = f.join(ps, f.provider_id == ps._p_id).select("specialty_name", "patient_id", "within")
-    return readmission_summary(rows, "specialty_name", "patient_id")
+    return sql(src, _SOURCE_FLAGS + return_flags_sql("dis", "arr", "patient_id", "discharge_date",
+                                                     "encounter_date", days) + """,
+        attributed AS (SELECT s.specialty_name, f.patient_id, f.within
+                 FROM flagged f JOIN {providers} p ON f.provider_id = p.provider_id
+                 JOIN {specialties} s ON p.specialty_id = s.specialty_id)
+        """ + readmission_summary_sql("attributed", "specialty_name", "patient_id"))
 
 
 def q4_source(src) -> DataFrame:
-    """Allowed amount by claim month and specialty.
+    """Allowed amount by claim month and specialty.
 
     Billing is pre-aggregated to (encounter, month) before it meets encounters.
     """
-    b = (src["billing"]
-         .groupBy("encounter_id", dates.month_label(F.col("claim_date")).alias("billing_month"))
-         .agg(F.sum("allowed_amount").alias("_rev")))
-    e = src["encounters"].select(F.col("encounter_id").alias("_e_id"), "provider_id")
-    ps = _provider_specialty(src)
-    return (b.join(e, b.encounter_id == e._e_id)
-             .join(ps, F.col("provider_id") == ps._p_id)
-             .groupBy("billing_month", "specialty_name")
-             .agg(F.sum("_rev").cast(MONEY_SUM).alias("total_revenue"))
-             .transform(lambda d: final_order(d, "billing_month", F.desc("total_revenue"))))
-
-
-def register_views(src: dict[str, DataFrame], tag: str) -> dict[str, str]:
-    """Temp views of the source frames for the SQL API; names carry ``tag`` so
-    several loads can live in one session."""
-    names = {}
-    for t, df in src.items():
-        names[t] = f"sm_{t}_{tag}"
-        df.createOrReplaceTempView(names[t])
-    return names
-
-
-def scalar_subquery_counts(src, tag: str = "src") -> DataFrame:
+    return sql(src, ordered(f"""
+        SELECT b.billing_month, s.specialty_name, CAST(SUM(b.rev) AS {MONEY_SUM}) AS total_revenue
+        FROM (SELECT encounter_id, date_format(claim_date, 'yyyy-MM') AS billing_month,
+                     SUM(allowed_amount) AS rev
+              FROM {{billing}} GROUP BY encounter_id, date_format(claim_date, 'yyyy-MM')) b
+        JOIN {{encounters}} e ON b.encounter_id = e.encounter_id
+        JOIN {{providers}} p ON e.provider_id = p.provider_id
+        JOIN {{specialties}} s ON p.specialty_id = s.specialty_id
+        GROUP BY b.billing_month, s.specialty_name""", "billing_month, total_revenue DESC"))
+
+
+def scalar_subquery_counts(src, tag: str = "") -> DataFrame:
     """Per encounter, correlated scalar subqueries in Spark SQL.
 
-    Catalyst decorrelates each subquery into an aggregate plus a left outer join
-    (checked with ``explain``), so this is the same plan as the pre-aggregated
-    joins of the fact load, written the way the design notes write it.
+    Catalyst decorrelates each subquery into an aggregate plus a left outer join,
+    the same plan as the pre-aggregated joins of the fact load, written the way
+    the design notes write it.
     """
-    v = register_views(src, tag)
-    spark = src["encounters"].sparkSession
-    return spark.sql(f"""
+    return sql(src, """
         SELECT e.encounter_id,
-               (SELECT COUNT(*) FROM {v['encounter_diagnoses']} ed WHERE ed.encounter_id = e.encounter_id)
+               (SELECT COUNT(*) FROM {encounter_diagnoses} ed WHERE ed.encounter_id = e.encounter_id)
                  AS diagnosis_count,
-               (SELECT COUNT(*) FROM {v['encounter_procedures']} ep WHERE ep.encounter_id = e.encounter_id)
+               (SELECT COUNT(*) FROM {encounter_procedures} ep WHERE ep.encounter_id = e.encounter_id)
                  AS procedure_count,
-               (SELECT CAST(SUM(b.allowed_amount) AS DECIMAL(22,2)) FROM {v['billing']} b
+               (SELECT CAST(SUM(b.allowed_amount) AS DECIMAL(22,2)) FROM {billing} b
                  WHERE b.encounter_id = e.encounter_id) AS total_allowed_amount
-        FROM {v['encounters']} e""")
+        FROM {encounters} e""")
