@@ -128,3 +128,22 @@ def build_dim_procedure(src: dict[str, DataFrame], with_category: bool = False)
     d = d.withColumn("category", cat)
     return schemas.conform(assign_dense_key(d, ["procedure_id", "cpt_code", "procedure_description"],
                                             "procedure_key"), schemas.MART["dim_procedure"])
+
+
+UNKNOWN_KEY = -1
+
+
+def add_unknown_member(dim: DataFrame, key: str, label: str = "Unknown") -> DataFrame:
+    """The dimension plus one 'Unknown' row with key -1 (strings 'Unknown',
+    other attributes null), so facts whose lookup failed still join."""
+    if dim.where(F.col(key) == UNKNOWN_KEY).limit(1).count():
+        return dim
+    cols = []
+    for f in dim.schema.fields:
+        if f.name == key:
+            cols.append(F.lit(UNKNOWN_KEY).cast(f.dataType).alias(f.name))
+        elif f.dataType.simpleString() == "string":
+            cols.append(F.lit(label).alias(f.name))
+        else:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    return dim.unionByName(dim.sparkSession.range(1).select(*cols))

@@ -124,6 +124,8 @@ def read_fact(stored: DataFrame) -> DataFrame:
 def build_all(src: dict[str, DataFrame], as_of: _dt.date, calendar: str = "data",
               on_missing: str = "drop", store: bool = True) -> dict[str, DataFrame]:
     """Dims -> fact -> bridges; each stage is written before the next reads it."""
+    from ..sources.normalize import normalize_sources
+    src = normalize_sources(src)
     keep = (lambda df, label, part=None: materialize(df, label, part)) if store else (lambda df, *_: df)
     spark = src["encounters"].sparkSession
     m: dict[str, DataFrame] = {}

@@ -123,4 +123,5 @@ def stage_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                patients=patients, encounters=encounters, diagnoses=diagnoses,
                encounter_diagnoses=encounter_diagnoses, procedures=procedures,
                encounter_procedures=encounter_procedures, billing=billing)
-    return {k: schemas.conform(v, schemas.SOURCE[k]) for k, v in out.items()}
+    from .normalize import normalize_sources
+    return normalize_sources({k: schemas.conform(v, schemas.SOURCE[k]) for k, v in out.items()})

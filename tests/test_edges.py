@@ -76,3 +76,25 @@ def test_quality_on_edges(edge):
     recon = {r.measure: r.difference for r in K.reconciliation(src, m).collect()}
     assert recon["encounters"] == Decimal("1.00")            # the provider-less encounter
     assert recon["allowed_amount"] == Decimal("0.00")
+
+
+def test_mixed_case_type_is_normalised(spark):
+    from starmart.sources.normalize import normalize_sources
+    src = seed_sources(spark)
+    odd = src["encounters"].withColumn(
+        "encounter_type", F.when(F.col("encounter_id") == 7002, F.lit(" inpatient")).otherwise(F.col("encounter_type")))
+    src = normalize_sources(dict(src, encounters=odd))
+    assert rows(RS.q3_source(src)) == [("Cardiology", 1, 0, Decimal("0.0000"))]
+    assert rows(src["encounters"].select("encounter_type").distinct()) == [("ER",), ("Inpatient",), ("Outpatient",)]
+
+
+def test_unknown_member(edge):
+    from starmart.plans.dims import add_unknown_member
+    from starmart.plans.fact import build_fact_encounters
+    src, m = edge
+    dims = dict(m, dim_provider=add_unknown_member(m["dim_provider"], "provider_key"))
+    f = build_fact_encounters(src, dims, on_missing="unknown")
+    got = {r.encounter_id: r.provider_key for r in f.collect()}
+    assert got[7106] == -1 and len(got) == len(src["encounters"].collect())
+    joined = f.join(dims["dim_provider"], "provider_key").where("encounter_id = 7106").first()
+    assert joined.provider_name == "Unknown"
