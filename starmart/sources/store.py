@@ -12,9 +12,16 @@ from pyspark.sql import DataFrame
 from ..session import fresh_path
 
 
+MAX_RECORDS_PER_FILE = "starmart.maxRecordsPerFile"
+DEFAULT_MAX_RECORDS_PER_FILE = 5_000_000
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
-    w = df.write.mode(mode)
+    """Parquet write with a cap on rows per file, so a table written by few tasks
+    is still read by many (Spark splits reads by file and row group)."""
+    cap = df.sparkSession.conf.get(MAX_RECORDS_PER_FILE, str(DEFAULT_MAX_RECORDS_PER_FILE))
+    w = df.write.mode(mode).option("maxRecordsPerFile", cap)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
