@@ -16,7 +16,7 @@ unique, but computed in parallel:
 
 The total row count falls out of step 4, so the result is coalesced (a narrow
 merge of neighbouring range partitions, order kept) to about
-``starmart.rowsPerPartition`` rows per partition: a small dimension is written
+``spark.starmart.rowsPerPartition`` rows per partition: a small dimension is written
 as one file, a large fact keeps its parallelism.
 
 ``sequence_within`` gives ``row_number() OVER (PARTITION BY g ORDER BY o)``
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 _LOW_BITS = (1 << 33) - 1
-ROWS_PER_PARTITION = "starmart.rowsPerPartition"
+ROWS_PER_PARTITION = "spark.starmart.rowsPerPartition"
 DEFAULT_ROWS_PER_PARTITION = 2_000_000
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from ..session import fresh_path
 
 
-MAX_RECORDS_PER_FILE = "starmart.maxRecordsPerFile"
+MAX_RECORDS_PER_FILE = "spark.starmart.maxRecordsPerFile"
 DEFAULT_MAX_RECORDS_PER_FILE = 5_000_000
 
 
