@@ -43,12 +43,6 @@ def mart(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         return _MARTS[k]
 
 
-def tag(sf_dir: str) -> str:
-    """Short stable name fragment for one data directory (temp view names)."""
-    import hashlib
-    return hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:8]
-
-
 def forget(spark: SparkSession | None = None) -> None:
     with _LOCK:
         _SOURCES.clear()

@@ -80,8 +80,7 @@ def queries() -> dict[str, Query]:
     for name in ("incremental_facts", "scd1_upsert_patient", "insert_ignore_patient", "scd2_patient",
                  "inferred_patients", "calendar_extend", "late_window_refresh", "unknown_member_fact"):
         q[name] = both(getattr(R, name))
-    q["scalar_subquery_counts"] = lambda spark, sf_dir: RS.scalar_subquery_counts(
-        catalog.sources(spark, sf_dir), catalog.tag(sf_dir))
+    q["scalar_subquery_counts"] = _src(RS.scalar_subquery_counts)
     q["stream_fact_load"] = ST.stream_fact_load
     q["stream_monthly"] = ST.stream_monthly
     for t in MART_TABLES:

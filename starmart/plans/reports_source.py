@@ -114,7 +114,7 @@ def q4_source(src) -> DataFrame:
         GROUP BY b.billing_month, s.specialty_name""", "billing_month, total_revenue DESC"))
 
 
-def scalar_subquery_counts(src, tag: str = "") -> DataFrame:
+def scalar_subquery_counts(src) -> DataFrame:
     """Per encounter, correlated scalar subqueries in Spark SQL.
 
     Catalyst decorrelates each subquery into an aggregate plus a left outer join,

@@ -1,6 +1,6 @@
 """Staging: reshape the driver's TPC-H-like tables into the ten source tables.
 
-Every expression here has a twin in ``starmart.oracle.STAGING_SQL``; keep
+Every expression here has a twin in ``starmart.oracle.STAGING``; keep
 them in step.  Reads use explicit schemas holding only the needed columns,
 so Parquet scans are pruned.
 """
