@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import dates
 from ..operators.keys import assign_dense_key
-from ..sources.store import materialize
+from ..session import fresh_path
+from ..sources.store import materialize, read_table
 from . import dims as D
 
 UNKNOWN_KEY = -1
@@ -109,12 +110,59 @@ def build_bridge_procedures(src, fact, dim_procedure) -> DataFrame:
                            schemas.MART["bridge_encounter_procedures"])
 
 
-def fact_layout(fact: DataFrame) -> DataFrame:
-    """Write layout: partition column admission_month (YYYYMM), rows clustered by
-    (month, key) so a hot month is split over several tasks and files stay few."""
+PERIOD_COL = "admission_period"
+MIN_ROWS_PER_PARTITION = "spark.starmart.minRowsPerFactPartition"
+DEFAULT_MIN_ROWS_PER_PARTITION = 1_000_000
+
+
+def period_expr(granularity: str | None, date_key="admission_date_key"):
+    """Partition value of a date key: YYYYMM (month), YYYY (year)."""
+    k = F.col(date_key) if isinstance(date_key, str) else date_key
+    if granularity == "month":
+        return (k / 100).cast("int")
+    if granularity == "year":
+        return (k / 10000).cast("int")
+    return None
+
+
+def choose_granularity(fact: DataFrame) -> str | None:
+    """Partition by month when months hold enough rows, else by year, else not at all:
+    partitions of a few thousand rows only add small files (one aggregate row read)."""
+    r = fact.agg(F.count(F.lit(1)).alias("n"), F.min("admission_date_key").alias("lo"),
+                 F.max("admission_date_key").alias("hi")).first()
+    if not r["n"]:
+        return None
+    floor = int(fact.sparkSession.conf.get(MIN_ROWS_PER_PARTITION, str(DEFAULT_MIN_ROWS_PER_PARTITION)))
+    years = r["hi"] // 10000 - r["lo"] // 10000 + 1
+    months = years * 12
+    if r["n"] / months >= floor:
+        return "month"
+    if r["n"] / years >= floor:
+        return "year"
+    return None
+
+
+def fact_layout(fact: DataFrame, granularity: str | None) -> DataFrame:
+    """Write layout: partition column admission_period, rows clustered by (period, key)
+    with a range partitioning, so a hot period is split over several tasks."""
     n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (fact.withColumn("admission_month", (F.col("admission_date_key") / 100).cast("int"))
-                .repartitionByRange(n, "admission_month", "encounter_key"))
+    p = period_expr(granularity)
+    if p is None:
+        return fact.repartitionByRange(n, "encounter_key")
+    return fact.withColumn(PERIOD_COL, p).repartitionByRange(n, PERIOD_COL, "encounter_key")
+
+
+def write_fact(fact: DataFrame, path: str, granularity: str | None, mode: str = "overwrite") -> None:
+    from ..sources.store import write_table
+    write_table(fact_layout(fact, granularity), path, [PERIOD_COL] if granularity else None, mode=mode)
+
+
+def stored_granularity(stored: DataFrame) -> str | None:
+    """Granularity of a written fact, from the width of its partition values."""
+    if PERIOD_COL not in stored.columns:
+        return None
+    v = stored.select(PERIOD_COL).limit(1).first()
+    return None if v is None else ("month" if v[0] >= 100000 else "year")
 
 
 def read_fact(stored: DataFrame) -> DataFrame:
@@ -142,7 +190,10 @@ def build_all(src: dict[str, DataFrame], as_of: _dt.date, calendar: str = "data"
     m["dim_procedure"] = keep(D.build_dim_procedure(src), "dim_procedure")
     fact = build_fact_encounters(src, m, on_missing)
     if store:
-        m["fact_encounters_stored"] = materialize(fact_layout(fact), "fact_encounters", ["admission_month"])
+        grain = choose_granularity(fact)
+        path = fresh_path(spark, "fact_encounters")
+        write_fact(fact, path, grain)
+        m["fact_encounters_stored"] = read_table(spark, path)
         m["fact_encounters"] = read_fact(m["fact_encounters_stored"])
     else:
         m["fact_encounters"] = fact

@@ -17,13 +17,14 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import upsert as U
-from ..sources.store import materialize, read_table, write_table
+from ..sources.store import materialize, read_table
 from ..session import fresh_path
 from . import dims as D
 from . import fact as FB
@@ -153,26 +154,34 @@ def calendar_extend(src, mart) -> DataFrame:
 # ---- T4 ---------------------------------------------------------------------
 def refresh_late_window(fact_path: str, src: dict[str, DataFrame], dims: dict[str, DataFrame],
                         window_start: _dt.date) -> DataFrame:
-    """T4: recompute measures of encounters admitted since ``window_start`` (a month start)
-    and replace exactly those month partitions (dynamic partition overwrite)."""
-    if window_start.day != 1:
-        raise ValueError("the window must start on a month boundary: partitions are replaced whole")
+    """T4: recompute measures of encounters admitted since ``window_start`` and rewrite
+    only the fact partitions that hold them (dynamic partition overwrite).
+
+    A touched partition is rewritten whole: its rows before the window are carried
+    over unchanged, its rows in the window are replaced by the recomputed ones.  The
+    rows to rewrite are staged in a new directory first, so the job never reads files
+    it is replacing.
+    """
     spark = src["encounters"].sparkSession
     stored = read_table(spark, fact_path)
-    start_month = window_start.year * 100 + window_start.month
-    # keys of the rows being replaced, cut from the table before it is overwritten
-    old_keys = materialize(stored.where(F.col("admission_month") >= start_month)
-                                 .select(F.col("encounter_id").alias("_id"), F.col("encounter_key").alias("_key")),
-                           "r_window_keys")
+    grain = FB.stored_granularity(stored)
+    start_key = window_start.year * 10000 + window_start.month * 100 + window_start.day
+    touched = stored
+    if grain:
+        touched = stored.where(F.col(FB.PERIOD_COL) >= FB.period_expr(grain, F.lit(start_key)))
+    touched = materialize(FB.read_fact(touched), "r_touched")
+    carried = touched.where(F.col("admission_date_key") < start_key)
+    old_keys = touched.where(F.col("admission_date_key") >= start_key) \
+                      .select(F.col("encounter_id").alias("_id"), F.col("encounter_key").alias("_key"))
     window = src["encounters"].where(F.to_date("encounter_date") >= F.lit(window_start))
     rows = FB.fact_rows(with_encounters(src, window), dims)
     keyed = rows.join(old_keys, rows.encounter_id == old_keys._id, "left")
-    known = keyed.where(F.col("_key").isNotNull()).withColumn("encounter_key", F.col("_key"))
+    known = keyed.where(F.col("_key").isNotNull()).withColumn("encounter_key", F.col("_key")).drop("_id", "_key")
     late = keyed.where(F.col("_key").isNull()).drop("_id", "_key")
     late = U.with_new_keys(late, ["encounter_id"], "encounter_key", U.max_key(stored, "encounter_key"))
-    out = schemas.conform(known.drop("_id", "_key").unionByName(late.select(*known.drop("_id", "_key").columns)),
-                          schemas.MART["fact_encounters"])
-    write_table(FB.fact_layout(out), fact_path, ["admission_month"], mode="overwrite")
+    fact = schemas.MART["fact_encounters"]
+    out = reduce(DataFrame.unionByName, [schemas.conform(x, fact) for x in (carried, known, late)])
+    FB.write_fact(materialize(out, "r_window_rows"), fact_path, grain, mode="overwrite")
     return FB.read_fact(read_table(spark, fact_path))
 
 
@@ -183,7 +192,8 @@ def late_window_refresh(src, mart) -> DataFrame:
     early = dict(src)
     early["billing"] = src["billing"].where(F.col("claim_date") < F.lit(mk.cutoff))
     path = fresh_path(src["encounters"].sparkSession, "r_fact_late")
-    write_table(FB.fact_layout(FB.build_fact_encounters(early, mart)), path, ["admission_month"])
+    fact0 = FB.build_fact_encounters(early, mart)
+    FB.write_fact(fact0, path, FB.choose_granularity(fact0))
     return refresh_late_window(path, src, mart, mk.window_start)
 
 

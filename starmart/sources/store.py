@@ -23,7 +23,8 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     cap = df.sparkSession.conf.get(MAX_RECORDS_PER_FILE, str(DEFAULT_MAX_RECORDS_PER_FILE))
     w = df.write.mode(mode).option("maxRecordsPerFile", cap)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        # an overwrite replaces only the partitions present in ``df``, whatever the session says
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
 
 
