@@ -145,10 +145,12 @@ def choose_granularity(fact: DataFrame) -> str | None:
 def fact_layout(fact: DataFrame, granularity: str | None) -> DataFrame:
     """Write layout: partition column admission_period, rows clustered by (period, key)
     with a range partitioning, so a hot period is split over several tasks."""
-    n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     p = period_expr(granularity)
     if p is None:
-        return fact.repartitionByRange(n, "encounter_key")
+        # the dense-key step already left the rows range-partitioned in key order and
+        # sized by row count: write them as they are, no second shuffle
+        return fact
+    n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return fact.withColumn(PERIOD_COL, p).repartitionByRange(n, PERIOD_COL, "encounter_key")
 
 

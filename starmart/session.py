@@ -39,7 +39,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     # file layout for local data sizes (cluster defaults: 5M rows per file, 2M rows
     # per key-assignment partition); see sources/store.py and operators/keys.py
     conf["spark.starmart.maxRecordsPerFile"] = "100000"
-    conf["spark.starmart.rowsPerPartition"] = "200000"
+    conf["spark.starmart.rowsPerPartition"] = "20000"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
