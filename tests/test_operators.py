@@ -109,3 +109,36 @@ def test_placeholders(spark):
     got = sorted(tuple(r) for r in U.placeholders(_dim(spark), refs, "nk", "k",
                                                   {"current_flag": F.lit(True)}).collect())
     assert got[-1] == (4, 50, None, True)
+
+
+def test_return_flags_property(spark):
+    """Random small inputs (nulls, equal times, same-day returns) against brute force."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    base = dt.datetime(2024, 1, 1)
+    times = st.one_of(st.none(), st.integers(0, 90 * 24).map(lambda h: base + dt.timedelta(hours=h)))
+    keys = st.one_of(st.none(), st.integers(0, 4))
+    rows = st.lists(st.tuples(keys, times), max_size=25)
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(arr=rows, dis=rows)
+    def check(arr, dis):
+        a = spark.createDataFrame(arr, "k long, a timestamp_ntz")
+        q = spark.createDataFrame(dis, "k long, t timestamp_ntz")
+        got = sorted([(r.k, r.t, r.later, r.within) for r in return_flags(q, a, "k", "t", "a", 30).collect()],
+                     key=str)
+        clean = [(k, t) for k, t in arr if k is not None and t is not None]
+        assert got == _brute(dis, clean, 30)
+
+    check()
+
+
+def test_upserts_are_idempotent(spark):
+    batch = spark.createDataFrame([(20, "B", True), (40, "d", True)], "nk long, attr string, current_flag boolean")
+    once = U.upsert_type1(_dim(spark), batch, "nk", "k")
+    twice = U.upsert_type1(once, batch, "nk", "k")
+    assert sorted(tuple(r) for r in once.collect()) == sorted(tuple(r) for r in twice.collect())
+    ig = U.insert_ignore(_dim(spark), batch, "nk", "k")
+    assert sorted(tuple(r) for r in U.insert_ignore(ig, batch, "nk", "k").collect()) == \
+        sorted(tuple(r) for r in ig.collect())
