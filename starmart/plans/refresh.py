@@ -10,7 +10,7 @@ over the whole tables, split by a *data-derived* high-water mark:
 
 Every stage writes a new version directory (S7) and reads it back, so a
 refresh never mutates files another reader is using, except the late-window
-rewrite (T4), which replaces whole month partitions by dynamic overwrite.
+rewrite (T4), which replaces the fact partitions its window touches (dynamic overwrite).
 """
 
 from __future__ import annotations
