@@ -98,3 +98,27 @@ def test_unknown_member(edge):
     assert got[7106] == -1 and len(got) == len(src["encounters"].collect())
     joined = f.join(dims["dim_provider"], "provider_key").where("encounter_id = 7106").first()
     assert joined.provider_name == "Unknown"
+
+
+def test_encounter_class_by_setting(seed):
+    from starmart.plans.dims import build_dim_encounter_type
+    got = sorted((r.encounter_type_name, r.encounter_class)
+                 for r in build_dim_encounter_type(seed, class_mode="setting").collect())
+    assert got == [("ER", "Emergency care"), ("Inpatient", "Inpatient care"), ("Outpatient", "Ambulatory care")]
+
+
+def test_code_categories(spark):
+    from starmart.functions import codes
+    df = spark.createDataFrame([("I10", "99213"), ("E11.9", "93000"), ("S72.0", "71020"), ("ICDX", "ABC"),
+                                (None, None)], "icd string, cpt string")
+    got = [(r.a, r.b) for r in df.select(codes.icd_category(F.col("icd")).alias("a"),
+                                         codes.cpt_category(F.col("cpt")).alias("b")).collect()]
+    assert got == [("Circulatory system", "Evaluation and Management"), ("Endocrine and metabolic", "Medicine"),
+                   ("Injury and poisoning", "Radiology"), ("Unclassified", "Unclassified"),
+                   ("Unclassified", "Unclassified")]
+
+
+def test_cli_list_and_run(capsys):
+    from starmart.__main__ import main
+    assert main(["list"]) == 0
+    assert "q3_corrected" in capsys.readouterr().out
