@@ -32,9 +32,15 @@ from pyspark.sql import DataFrame
 
 
 def return_flags_sql(discharges: str, arrivals: str, key: str, discharge_time: str, arrival_time: str,
-                     days: int = 30, out: str = "flagged") -> str:
+                     days: int = 30, out: str = "flagged", discharge_days: str | None = None) -> str:
     """CTE definitions (no leading WITH) ending in ``out``: the discharge rows plus
-    ``later`` and ``within``.  ``discharges`` / ``arrivals`` name relations."""
+    ``later`` and ``within``.  ``discharges`` / ``arrivals`` name relations.
+
+    ``discharge_days`` may name a cheaper relation with the same key and time
+    columns whose days are a superset of the discharge days (extra days only add
+    empty rows to the day table); by default the discharges themselves are used.
+    """
+    day_src = discharge_days or discharges
     if int(days) < 1:
         raise ValueError("window must be at least one day")
     t = f"CAST(q.{discharge_time} AS TIMESTAMP_NTZ)"
@@ -49,7 +55,7 @@ def return_flags_sql(discharges: str, arrivals: str, key: str, discharge_time: s
               FROM {arrivals} WHERE {key} IS NOT NULL AND {arrival_time} IS NOT NULL
               UNION ALL
               SELECT {key}, CAST(NULL AS TIMESTAMP_NTZ), CAST({discharge_time} AS TIMESTAMP_NTZ)
-              FROM {discharges} WHERE {key} IS NOT NULL AND {discharge_time} IS NOT NULL)
+              FROM {day_src} WHERE {key} IS NOT NULL AND {discharge_time} IS NOT NULL)
         GROUP BY _rk, to_date(_at))),
 {out} AS (
   SELECT q.*,
