@@ -1,0 +1,19 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from starmart.session import get_spark
+    return get_spark(master="local[4]", shuffle_partitions=8)
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF
