@@ -10,14 +10,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
+from .quality import quality_grades
 from .simhash import simhash_components
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_grades(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                          read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
