@@ -10,10 +10,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
+from .mixing import mixed_documents, mixing_sql
 from .quality import quality_grades
 from .simhash import simhash_components
 
 
+def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_documents(read_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_grades(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                           read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
@@ -24,8 +29,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing_sources": op3_mixing_sources,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_mixing_sources": mixing_sql(),
+}
