@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read_table
 from .mixing import mixed_documents, mixing_sql
 from .quality import quality_grades
+from .sharding import sharded
 from .simhash import simhash_components
 
 
@@ -19,6 +20,10 @@ def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(read_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(read_table(spark, sf_dir, "documents", "doc_id", "text"), 8)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_grades(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                           read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
@@ -30,6 +35,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing_sources": op3_mixing_sources,
+    "op5_sharding": op5_sharding,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
