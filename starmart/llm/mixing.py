@@ -35,7 +35,7 @@ from ..operators.keys import assign_dense_key
 from .common import materialise, partitions, running_totals, spread_bits, word_count
 
 #: rows of one window group in the two-level sums, about
-GROUP = 1 << 14
+GROUP = 1 << 12
 
 
 def source_targets(sized: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
+from .decontam import matches
 from .mixing import mixed_documents, mixing_sql
 from .quality import quality_grades
 from .sharding import sharded
@@ -24,6 +25,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(read_table(spark, sf_dir, "documents", "doc_id", "text"), 8)
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matches(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                   read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_grades(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                           read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
@@ -36,6 +42,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing_sources": op3_mixing_sources,
     "op5_sharding": op5_sharding,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }

@@ -36,7 +36,7 @@ from .common import group_runs, materialise, partitions, running_totals, spread_
 #: groups of one part, about
 PART = 1 << 16
 #: rows of one slot-numbering window, about
-GROUP = 1 << 14
+GROUP = 1 << 12
 
 
 class CapacityTree:
