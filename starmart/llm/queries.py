@@ -15,6 +15,7 @@ from .mixing import mixed_documents, mixing_sql
 from .quality import quality_grades
 from .sharding import sharded
 from .simhash import simhash_components
+from .topk import TOP_K_SQL, top_k
 
 
 def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                           read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -44,9 +49,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_exact_top_k": op9_exact_top_k,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op3_mixing_sources": mixing_sql(),
+    "op9_exact_top_k": TOP_K_SQL,
 }
