@@ -16,6 +16,7 @@ from .quality import quality_grades
 from .sharding import sharded
 from .simhash import simhash_components
 from .topk import TOP_K_SQL, top_k
+from .warc import WARC_SQL, capture_histories
 
 
 def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +32,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                    read_table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capture_histories(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_grades(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                           read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing_sources": op3_mixing_sources,
     "op5_sharding": op5_sharding,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_warc": op7_warc,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
@@ -55,5 +61,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op3_mixing_sources": mixing_sql(),
+    "op7_warc": WARC_SQL,
     "op9_exact_top_k": TOP_K_SQL,
 }
