@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
 from .decontam import matches
+from .licences import licence_scan
 from .mixing import mixed_documents, mixing_sql
 from .quality import quality_grades
 from .sharding import sharded
@@ -19,6 +20,10 @@ from .topk import TOP_K_SQL, top_k
 from .warc import WARC_SQL, capture_histories
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(read_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
@@ -50,6 +55,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op3_mixing_sources": op3_mixing_sources,
     "op5_sharding": op5_sharding,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
