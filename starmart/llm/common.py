@@ -59,27 +59,34 @@ def hash_bucket(hashed: Column, bits: int) -> Column:
 
 
 def running_totals(df: DataFrame, group: list[str], bucket: str, order: list[str],
-                   value: str, before: str) -> DataFrame:
+                   value: str, before: str, levels: int = 1) -> DataFrame:
     """Per group, the sum of ``value`` over all rows that precede a row in (bucket, order).
 
-    Two levels keep a hot group out of a single task: a window inside each
-    (group, bucket), and a window over one total per bucket.  Rows that tie on
+    Several levels keep a hot group out of a single task: a window inside each
+    (group, bucket), and a window over one total per bucket; with more ``levels`` those
+    totals are summed the same way in buckets of 4096 of them.  Rows that tie on
     the whole order get adjoining places; ``order`` must hold all columns that
     tell rows apart.
     """
     inside = (Window.partitionBy(*group, bucket).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, -1))
-    local = df.withColumn("_local", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    ahead = (Window.partitionBy(*group).orderBy(bucket)
-             .rowsBetween(Window.unboundedPreceding, -1))
-    totals = (df.groupBy(*group, bucket).agg(F.sum(value).alias("_total"))
-                .withColumn("_ahead", F.coalesce(F.sum("_total").over(ahead), F.lit(0))))
+    local, ahead, total = (f"_{x}{levels}" for x in ("local", "ahead", "total"))
+    counted = df.withColumn(local, F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    totals = df.groupBy(*group, bucket).agg(F.sum(value).alias(total))
+    if levels > 1:
+        wide = f"_wide{levels}"
+        totals = running_totals(totals.withColumn(wide, F.shiftright(bucket, 12)), group, wide, [bucket], total,
+                                ahead, levels - 1).drop(wide)
+    else:
+        over = (Window.partitionBy(*group).orderBy(bucket)
+                .rowsBetween(Window.unboundedPreceding, -1))
+        totals = totals.withColumn(ahead, F.coalesce(F.sum(total).over(over), F.lit(0)))
     names = [*group, bucket]
-    totals = totals.select(*[F.col(c).alias(f"_t_{c}") for c in names], "_ahead")
-    on = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in names]
-    return (local.join(totals, on, "inner")
-                 .withColumn(before, (F.col("_local") + F.col("_ahead")).cast("long"))
-                 .drop("_local", "_ahead", *[f"_t_{c}" for c in names]))
+    totals = totals.select(*[F.col(c).alias(f"_t{levels}_{c}") for c in names], ahead)
+    on = [F.col(c).eqNullSafe(F.col(f"_t{levels}_{c}")) for c in names]
+    return (counted.join(totals, on, "inner")
+                   .withColumn(before, (F.col(local) + F.col(ahead)).cast("long"))
+                   .drop(local, ahead, *[f"_t{levels}_{c}" for c in names]))
 
 
 def group_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, pa.Table]]:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read_table
 from .decontam import matches
 from .licences import licence_scan
+from .lines import line_dedup_report, line_dedup_sql
 from .mixing import mixed_documents, mixing_sql
 from .quality import quality_grades
 from .sharding import sharded
@@ -28,6 +29,10 @@ def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(read_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup_report(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(read_table(spark, sf_dir, "documents", "doc_id", "text"), 8)
 
@@ -57,6 +62,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op3_mixing_sources": op3_mixing_sources,
+    "op4_line_dedup": op4_line_dedup,
     "op5_sharding": op5_sharding,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_warc": op7_warc,
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op3_mixing_sources": mixing_sql(),
+    "op4_line_dedup": line_dedup_sql(),
     "op7_warc": WARC_SQL,
     "op9_exact_top_k": TOP_K_SQL,
 }
