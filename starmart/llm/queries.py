@@ -14,6 +14,7 @@ from .decontam import matches
 from .licences import licence_scan
 from .lines import line_dedup_report, line_dedup_sql
 from .mixing import mixed_documents, mixing_sql
+from .passages import repeated_passages
 from .quality import quality_grades
 from .sharding import sharded
 from .simhash import simhash_components
@@ -25,6 +26,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(read_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
@@ -61,6 +66,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_mixing_sources": op3_mixing_sources,
     "op4_line_dedup": op4_line_dedup,
     "op5_sharding": op5_sharding,
