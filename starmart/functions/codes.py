@@ -1,7 +1,7 @@
 """Code categories for dim_diagnosis / dim_procedure.
 
-Diagnosis: the ICD-10 chapter of the three-character category (letter + two
-digits).  Procedure: the CPT section of the five-digit code.  Codes that do
+Diagnosis: the ICD-10-CM chapter of the three-character category (letter,
+digit, digit or letter).  Procedure: the CPT section of the five-digit code.  Codes that do
 not follow the pattern get 'Unclassified'.  Both are pure expressions (a
 CASE ladder), so no lookup table or join is needed.
 """
@@ -13,29 +13,29 @@ from pyspark.sql import functions as F
 
 UNCLASSIFIED = "Unclassified"
 
-# ICD-10 chapters as (first category, last category, chapter name).
+# ICD-10-CM chapters as (first category, last category, chapter name).
 ICD10_CHAPTERS = [
     ("A00", "B99", "Infectious and parasitic"),
-    ("C00", "D48", "Neoplasms"),
+    ("C00", "D49", "Neoplasms"),
     ("D50", "D89", "Blood and immune"),
-    ("E00", "E90", "Endocrine and metabolic"),
+    ("E00", "E89", "Endocrine and metabolic"),
     ("F00", "F99", "Mental and behavioural"),
     ("G00", "G99", "Nervous system"),
     ("H00", "H59", "Eye and adnexa"),
     ("H60", "H95", "Ear and mastoid"),
     ("I00", "I99", "Circulatory system"),
     ("J00", "J99", "Respiratory system"),
-    ("K00", "K93", "Digestive system"),
+    ("K00", "K95", "Digestive system"),
     ("L00", "L99", "Skin and subcutaneous"),
     ("M00", "M99", "Musculoskeletal"),
     ("N00", "N99", "Genitourinary system"),
-    ("O00", "O99", "Pregnancy and childbirth"),
+    ("O00", "O9A", "Pregnancy and childbirth"),
     ("P00", "P96", "Perinatal conditions"),
     ("Q00", "Q99", "Congenital anomalies"),
     ("R00", "R99", "Symptoms and signs"),
-    ("S00", "T98", "Injury and poisoning"),
+    ("S00", "T88", "Injury and poisoning"),
     ("U00", "U99", "Special purposes"),
-    ("V01", "Y98", "External causes"),
+    ("V00", "Y99", "External causes"),
     ("Z00", "Z99", "Health status factors"),
 ]
 
@@ -52,7 +52,7 @@ CPT_SECTIONS = [
 
 def icd_category(code: Column) -> Column:
     cat = F.upper(F.substring(code, 1, 3))
-    ladder = F.when(~cat.rlike("^[A-Z][0-9][0-9]$") | cat.isNull(), F.lit(UNCLASSIFIED))
+    ladder = F.when(~cat.rlike("^[A-Z][0-9][0-9A-Z]$") | cat.isNull(), F.lit(UNCLASSIFIED))
     for lo, hi, name in ICD10_CHAPTERS:
         ladder = ladder.when(cat.between(lo, hi), F.lit(name))
     return ladder.otherwise(F.lit(UNCLASSIFIED))
@@ -64,18 +64,3 @@ def cpt_category(code: Column) -> Column:
     for lo, hi, name in CPT_SECTIONS:
         ladder = ladder.when(num.between(lo, hi), F.lit(name))
     return ladder.otherwise(F.lit(UNCLASSIFIED))
-
-
-def icd_category_sql(code: str) -> str:
-    """Same ladder as DuckDB SQL text (oracle)."""
-    cat = f"upper(substr({code}, 1, 3))"
-    parts = [f"WHEN {cat} IS NULL OR NOT regexp_full_match({cat}, '[A-Z][0-9][0-9]') THEN '{UNCLASSIFIED}'"]
-    parts += [f"WHEN {cat} BETWEEN '{lo}' AND '{hi}' THEN '{name}'" for lo, hi, name in ICD10_CHAPTERS]
-    return "CASE " + " ".join(parts) + f" ELSE '{UNCLASSIFIED}' END"
-
-
-def cpt_category_sql(code: str) -> str:
-    num = f"(CASE WHEN regexp_full_match({code}, '[0-9]{{5}}') THEN CAST({code} AS INTEGER) END)"
-    parts = [f"WHEN {num} IS NULL THEN '{UNCLASSIFIED}'"]
-    parts += [f"WHEN {num} BETWEEN {lo} AND {hi} THEN '{name}'" for lo, hi, name in CPT_SECTIONS]
-    return "CASE " + " ".join(parts) + f" ELSE '{UNCLASSIFIED}' END"

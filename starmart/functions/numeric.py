@@ -1,11 +1,9 @@
-"""Exact ratios that two engines compute to the same digits.
-
-MySQL divides integers to DECIMAL with four decimals, rounding half up, so
-``(a / b) * 100`` gives e.g. 33.3300.  We reproduce that with integer
-arithmetic only: ``(2*a*10^s + b) div (2*b)`` is ``round_half_up(a/b, s)``
-scaled by ``10^s`` for non-negative a and positive b.  The helpers take SQL
-expressions (column names or aggregates) so the same text serves Spark SQL
-and the DuckDB oracle; only integer division is spelled differently.
+"""Exact decimal ratios.
+
+Rates and means are rounded once, half up, by integer arithmetic:
+``(2 * a * 10^s + b) div (2 * b)`` is ``a / b`` in units of ``10^-s`` for non-negative a and
+positive b.  Doubles never take part, so equal rates compare equal.  The helpers
+take SQL expressions (column names or aggregates).
 """
 
 from __future__ import annotations
@@ -13,38 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_DIV = {"spark": "div", "duckdb": "//"}
-
-
-def _scaled(num: str, den: str, scale: int, dialect: str) -> str:
-    p = 10 ** scale
-    d = f"CAST({den} AS BIGINT)"
-    return f"CASE WHEN {d} <> 0 THEN (CAST({num} AS BIGINT) * {2 * p} + {d}) {_DIV[dialect]} ({d} * 2) END"
-
-
-def rate_percent_text(num: str, den: str, dialect: str = "spark") -> str:
-    """MySQL ``(num / den) * 100`` as DECIMAL(10,4); null when den is 0."""
-    mid = "DECIMAL(20,0)" if dialect == "spark" else "DOUBLE"
-    return f"CAST(CAST({_scaled(num, den, 4, dialect)} AS {mid}) / 100 AS DECIMAL(10,4))"
-
 
-def mean_exact_text(total: str, count: str, scale: int = 4, dialect: str = "spark") -> str:
-    """total / count rounded half up to ``scale`` decimals, as DECIMAL(18, scale)."""
-    mid = "DECIMAL(20,0)" if dialect == "spark" else "DOUBLE"
-    return f"CAST(CAST({_scaled(total, count, scale, dialect)} AS {mid}) / {10 ** scale} AS DECIMAL(18,{scale}))"
+def _scaled(num: str, den: str, factor: int) -> str:
+    d = f"CAST({den} AS DECIMAL(30,0))"
+    n = f"CAST({num} AS DECIMAL(30,0))"
+    return f"CASE WHEN {d} <> 0 THEN CAST(({n} * {2 * factor} + {d}) div ({d} * 2) AS DECIMAL(20,0)) END"
 
 
-def rate_percent(num: str, den: str) -> Column:
-    return F.expr(rate_percent_text(num, den))
+def rate_percent_text(num: str, den: str) -> str:
+    """num / den in percent, four decimals, as DECIMAL(10,4); null when den is 0."""
+    return f"CAST({_scaled(num, den, 100 * 10 ** 4)} / 10000 AS DECIMAL(10,4))"
 
 
 def mean_exact(total: str, count: str, scale: int = 4) -> Column:
-    return F.expr(mean_exact_text(total, count, scale))
-
-
-def rate_percent_sql(num: str, den: str) -> str:
-    return rate_percent_text(num, den, "duckdb")
-
-
-def mean_exact_sql(total: str, count: str, scale: int = 4) -> str:
-    return mean_exact_text(total, count, scale, "duckdb")
+    """total / count rounded half up to ``scale`` decimals, as DECIMAL(18, scale)."""
+    return F.expr(f"CAST({_scaled(total, count, 10 ** scale)} / {10 ** scale} AS DECIMAL(18,{scale}))")

@@ -28,23 +28,38 @@ def with_new_keys(rows: DataFrame, order_cols: list[str], key: str, offset: int)
     return keyed.withColumn(key, (F.col(key) + F.lit(offset)).cast("bigint"))
 
 
-def latest_per_key(batch: DataFrame, nk: str, order_col: str) -> DataFrame:
+def latest_per_key(batch: DataFrame, nk: str, order_col: str | None = None) -> DataFrame:
     """The newest version of each natural key in a change batch.
 
     ``max_by`` is an ordinary aggregate with a map-side partial step, so a key
     with very many versions is reduced before the shuffle instead of being
-    sorted in one task the way a row_number window would.
+    sorted in one task the way a row_number window would.  A version without an order
+    value is older than any other; ties (and batches without an order column) go to the
+    row with the larger hash, so reruns agree.  Rows with a null natural key are
+    left out: ``rejected`` has them.
     """
     others = [c for c in batch.columns if c != nk]
     packed = F.struct(*[F.col(c) for c in others])
-    latest = batch.groupBy(nk).agg(F.max_by(packed, F.col(order_col)).alias("_v"))
+    rank = [F.xxhash64(*[F.col(c) for c in others])]
+    if order_col is not None:
+        rank = [F.col(order_col).isNotNull(), F.col(order_col), *rank]
+    latest = (batch.where(F.col(nk).isNotNull()).groupBy(nk)
+              .agg(F.max_by(packed, F.struct(*rank)).alias("_v")))
     return latest.select(nk, *[F.col(f"_v.{c}").alias(c) for c in others]).select(*batch.columns)
 
 
-def upsert_type1(dim: DataFrame, batch: DataFrame, nk: str, key: str) -> DataFrame:
-    """Insert new natural keys, overwrite attributes of known ones in place."""
+def rejected(batch: DataFrame, nk: str) -> DataFrame:
+    """Rows of a change batch that no upsert takes: those without a natural key."""
+    return batch.where(F.col(nk).isNull())
+
+
+def upsert_type1(dim: DataFrame, batch: DataFrame, nk: str, key: str, order_col: str | None = None) -> DataFrame:
+    """Insert new natural keys, overwrite attributes of known ones in place.
+
+    Of several versions of a key in the batch the newest counts (W2).
+    """
     cols = dim.columns
-    batch = batch.select(*[c for c in cols if c != key])
+    batch = latest_per_key(batch, nk, order_col).select(*[c for c in cols if c != key])
     known = dim.select(nk, key)
     untouched = dim.join(batch.select(nk), nk, "left_anti")
     updated = batch.join(known, nk, "inner")
@@ -53,10 +68,10 @@ def upsert_type1(dim: DataFrame, batch: DataFrame, nk: str, key: str) -> DataFra
     return reduce(DataFrame.unionByName, [untouched.select(*cols), updated.select(*cols), fresh.select(*cols)])
 
 
-def insert_ignore(dim: DataFrame, batch: DataFrame, nk: str, key: str) -> DataFrame:
-    """ON CONFLICT DO NOTHING: only natural keys not yet present are added."""
+def insert_ignore(dim: DataFrame, batch: DataFrame, nk: str, key: str, order_col: str | None = None) -> DataFrame:
+    """ON CONFLICT DO NOTHING: only natural keys not yet present are added, once each."""
     cols = dim.columns
-    fresh = batch.select(*[c for c in cols if c != key]).join(dim.select(nk), nk, "left_anti")
+    fresh = latest_per_key(batch, nk, order_col).select(*[c for c in cols if c != key]).join(dim.select(nk), nk, "left_anti")
     fresh = with_new_keys(fresh, [nk], key, max_key(dim, key))
     return dim.unionByName(fresh.select(*cols))
 
@@ -76,13 +91,24 @@ def _differs(a: str, b: str) -> Column:
     return ~F.col(a).eqNullSafe(F.col(b))
 
 
-def scd_type2(dim: DataFrame, batch: DataFrame, nk: str, key: str, tracked: list[str], change_date) -> DataFrame:
+def as_of_versions(dim: DataFrame, nk: str) -> DataFrame:
+    """A versioned dimension with half-open spans [_from, _to) that cover all time: the first
+    version of a member also stands for the days before it."""
+    first = dim.groupBy(F.col(nk).alias("_nk")).agg(F.min("valid_from").alias("_first"))
+    met = dim.join(first, dim[nk].eqNullSafe(F.col("_nk"))).drop("_nk")
+    return (met.withColumn("_from", F.when(F.col("valid_from") > F.col("_first"), F.col("valid_from")))
+               .withColumn("_to", F.col("valid_to")).drop("_first"))
+
+
+def scd_type2(dim: DataFrame, batch: DataFrame, nk: str, key: str, tracked: list[str], change_date,
+              order_col: str | None = None) -> DataFrame:
     """Close the current row of a changed member and add a new current version.
 
     ``dim`` carries ``current_flag``, ``valid_from``, ``valid_to``; history rows
     (flag false) pass through untouched.
     """
     cols = dim.columns
+    batch = latest_per_key(batch, nk, order_col)
     history = dim.where(~F.col("current_flag"))
     current = dim.where(F.col("current_flag"))
     b = batch.select(nk, F.lit(True).alias("_in_b"),

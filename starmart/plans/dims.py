@@ -133,6 +133,11 @@ def build_dim_procedure(src: dict[str, DataFrame], with_category: bool = False)
 UNKNOWN_KEY = -1
 
 
+#: dimensions that a fact lookup can miss
+UNKNOWN_MEMBERS = {"dim_encounter_type": "encounter_type_key", "dim_department": "department_key",
+                   "dim_provider": "provider_key", "dim_patient": "patient_key"}
+
+
 def add_unknown_member(dim: DataFrame, key: str, label: str = "Unknown") -> DataFrame:
     """The dimension plus one 'Unknown' row with key -1 (strings 'Unknown',
     other attributes null), so facts whose lookup failed still join."""

@@ -14,10 +14,12 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import dates
 from ..operators.keys import assign_dense_key
+from ..operators.upsert import as_of_versions
 from ..session import fresh_path
 from ..sources.store import materialize, read_table
 from . import dims as D
@@ -25,7 +27,7 @@ from . import dims as D
 UNKNOWN_KEY = -1
 
 
-def encounter_measures(src: dict[str, DataFrame]) -> DataFrame:
+def encounter_measures(src: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A10: per-encounter sums and counts, joined on the encounter id."""
     bill = src["billing"].groupBy("encounter_id").agg(
         F.sum("claim_amount").alias("total_claim"), F.sum("allowed_amount").alias("total_allowed"))
@@ -36,14 +38,26 @@ def encounter_measures(src: dict[str, DataFrame]) -> DataFrame:
 
 def _lookup(df: DataFrame, dim: DataFrame, left_col: str, dim_col: str, key: str, how: str,
             on_missing: str) -> DataFrame:
-    """Attach ``key`` by natural id; 'unknown' keeps the row with key -1."""
-    d = dim.select(F.col(dim_col).alias(f"_lk_{key}"), F.col(key))
+    """Attach ``key`` by natural id; 'unknown' keeps the row with key -1.
+
+    A dimension with history (valid_from, valid_to) is looked up as of the admission day, or by
+    its current version where there is none, so that no encounter meets two versions.
+    """
+    d = dim.where(F.col(key) != UNKNOWN_KEY)
+    if "valid_from" in dim.columns:
+        d = as_of_versions(d, dim_col)
+        day = F.coalesce(F.to_date("encounter_date"), F.to_date(F.lit("9999-12-31")))
+        valid = (F.col("_from").isNull() | (day >= F.col("_from"))) & (F.col("_to").isNull() | (day < F.col("_to")))
+    else:
+        valid = F.lit(True)
+    d = d.select(F.col(dim_col).alias(f"_lk_{key}"), F.col(key), *[c for c in ("_from", "_to") if c in d.columns])
+    met = (df[left_col] == d[f"_lk_{key}"]) & valid
     if on_missing == "unknown":
-        out = df.join(d, df[left_col] == d[f"_lk_{key}"], "left")
+        out = df.join(d, met, "left")
         out = out.withColumn(key, F.coalesce(F.col(key), F.lit(UNKNOWN_KEY).cast("bigint")))
     else:
-        out = df.join(d, df[left_col] == d[f"_lk_{key}"], how)
-    return out.drop(f"_lk_{key}")
+        out = df.join(d, met, how)
+    return out.drop(f"_lk_{key}", "_from", "_to")
 
 
 def fact_rows(src: dict[str, DataFrame], dims: dict[str, DataFrame], on_missing: str = "drop") -> DataFrame:
@@ -55,18 +69,25 @@ def fact_rows(src: dict[str, DataFrame], dims: dict[str, DataFrame], on_missing:
          .join(proc, "encounter_id", "left"))
     e = _lookup(e, dims["dim_encounter_type"], "encounter_type", "encounter_type_name", "encounter_type_key",
                 "inner", on_missing)
-    e = _lookup(e, dims["dim_department"], "department_id", "department_id", "department_key", "left", "drop")
+    e = _lookup(e, dims["dim_department"], "department_id", "department_id", "department_key", "left", on_missing)
     e = _lookup(e, dims["dim_provider"], "provider_id", "provider_id", "provider_key", "inner", on_missing)
     e = _lookup(e, dims["dim_patient"], "patient_id", "patient_id", "patient_key", "inner", on_missing)
-    zero = F.lit(0).cast("decimal(12,2)")
+    def money(c: str):
+        # no claims: 0; a sum that DECIMAL(12,2) cannot hold fails the load instead of reading as 0
+        big = F.abs(F.col(c)) >= F.lit(10 ** 10)
+        return (F.when(F.col(c).isNull(), F.lit(0).cast("decimal(12,2)"))
+                .when(big, F.raise_error(F.concat(F.lit(f"{c} does not fit DECIMAL(12,2): "), F.col(c).cast("string")))
+                      .cast("decimal(12,2)"))
+                .otherwise(F.col(c).cast("decimal(12,2)")))
+
     return e.select(
         "encounter_id",
         dates.date_key(F.col("encounter_date")).alias("admission_date_key"),
         dates.date_key(F.col("discharge_date")).alias("discharge_date_key"),
         "patient_key", "provider_key", "department_key", "encounter_type_key",
         dates.days_between(F.col("discharge_date"), F.col("encounter_date")).alias("length_of_stay"),
-        F.coalesce(F.col("total_claim").cast("decimal(12,2)"), zero).alias("total_claim_amount"),
-        F.coalesce(F.col("total_allowed").cast("decimal(12,2)"), zero).alias("total_allowed_amount"),
+        money("total_claim").alias("total_claim_amount"),
+        money("total_allowed").alias("total_allowed_amount"),
         F.coalesce(F.col("diag_count"), F.lit(0)).cast("int").alias("diagnosis_count"),
         F.coalesce(F.col("proc_count"), F.lit(0)).cast("int").alias("procedure_count"))
 
@@ -111,8 +132,9 @@ def build_bridge_procedures(src, fact, dim_procedure) -> DataFrame:
 
 
 PERIOD_COL = "admission_period"
-MIN_ROWS_PER_PARTITION = "spark.starmart.minRowsPerFactPartition"
-DEFAULT_MIN_ROWS_PER_PARTITION = 1_000_000
+#: the layout is declared, not derived from the data: month, year or none
+FACT_LAYOUT = "spark.starmart.factLayout"
+LAYOUTS = ("month", "year", "none")
 
 
 def period_expr(granularity: str | None, date_key="admission_date_key"):
@@ -125,21 +147,12 @@ def period_expr(granularity: str | None, date_key="admission_date_key"):
     return None
 
 
-def choose_granularity(fact: DataFrame) -> str | None:
-    """Partition by month when months hold enough rows, else by year, else not at all:
-    partitions of a few thousand rows only add small files (one aggregate row read)."""
-    r = fact.agg(F.count(F.lit(1)).alias("n"), F.min("admission_date_key").alias("lo"),
-                 F.max("admission_date_key").alias("hi")).first()
-    if not r["n"]:
-        return None
-    floor = int(fact.sparkSession.conf.get(MIN_ROWS_PER_PARTITION, str(DEFAULT_MIN_ROWS_PER_PARTITION)))
-    years = r["hi"] // 10000 - r["lo"] // 10000 + 1
-    months = years * 12
-    if r["n"] / months >= floor:
-        return "month"
-    if r["n"] / years >= floor:
-        return "year"
-    return None
+def declared_layout(spark) -> str | None:
+    """Partitioning of the fact, the same at every size; ``none`` keeps plain files in key order."""
+    layout = spark.conf.get(FACT_LAYOUT, "none")
+    if layout not in LAYOUTS:
+        raise ValueError(f"{FACT_LAYOUT} is {layout!r}; it must be one of {', '.join(LAYOUTS)}")
+    return None if layout == "none" else layout
 
 
 def fact_layout(fact: DataFrame, granularity: str | None) -> DataFrame:
@@ -159,12 +172,10 @@ def write_fact(fact: DataFrame, path: str, granularity: str | None, mode: str =
     write_table(fact_layout(fact, granularity), path, [PERIOD_COL] if granularity else None, mode=mode)
 
 
-def stored_granularity(stored: DataFrame) -> str | None:
-    """Granularity of a written fact, from the width of its partition values."""
-    if PERIOD_COL not in stored.columns:
-        return None
-    v = stored.select(PERIOD_COL).limit(1).first()
-    return None if v is None else ("month" if v[0] >= 100000 else "year")
+def stored_schema(granularity: str | None):
+    """Schema of the written fact, with the partition column where the layout has one."""
+    fact = schemas.MART["fact_encounters"]
+    return T.StructType([*fact.fields, T.StructField(PERIOD_COL, T.IntegerType())]) if granularity else fact
 
 
 def read_fact(stored: DataFrame) -> DataFrame:
@@ -190,13 +201,15 @@ def build_all(src: dict[str, DataFrame], as_of: _dt.date, calendar: str = "data"
     m["dim_provider"] = keep(D.build_dim_provider(src, m["dim_specialty"], m["dim_department"]), "dim_provider")
     m["dim_diagnosis"] = keep(D.build_dim_diagnosis(src), "dim_diagnosis")
     m["dim_procedure"] = keep(D.build_dim_procedure(src), "dim_procedure")
+    if on_missing == "unknown":  # failed lookups must find their member
+        for dim, key in D.UNKNOWN_MEMBERS.items():
+            m[dim] = keep(D.add_unknown_member(m[dim], key), dim)
     fact = build_fact_encounters(src, m, on_missing)
     if store:
-        grain = choose_granularity(fact)
+        grain = declared_layout(spark)
         path = fresh_path(spark, "fact_encounters")
         write_fact(fact, path, grain)
-        m["fact_encounters_stored"] = read_table(spark, path)
-        m["fact_encounters"] = read_fact(m["fact_encounters_stored"])
+        m["fact_encounters"] = read_fact(read_table(spark, path, stored_schema(grain)))
     else:
         m["fact_encounters"] = fact
     m["bridge_encounter_diagnoses"] = keep(

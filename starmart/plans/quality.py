@@ -18,8 +18,8 @@ PRIMARY_KEYS = [
     ("patients", ["patient_id"]), ("patients", ["mrn"]), ("specialties", ["specialty_id"]),
     ("departments", ["department_id"]), ("providers", ["provider_id"]), ("encounters", ["encounter_id"]),
     ("diagnoses", ["diagnosis_id"]), ("procedures", ["procedure_id"]),
-    ("encounter_diagnoses", ["encounter_id", "diagnosis_id"]),
-    ("encounter_procedures", ["encounter_id", "procedure_id"]),
+    ("encounter_diagnoses", ["encounter_diagnosis_id"]), ("encounter_procedures", ["encounter_procedure_id"]),
+    ("billing", ["billing_id"]),
     ("dim_date", ["date_key"]), ("dim_specialty", ["specialty_key"]), ("dim_department", ["department_key"]),
     ("dim_encounter_type", ["encounter_type_key"]), ("dim_patient", ["patient_key"]),
     ("dim_provider", ["provider_key"]), ("dim_diagnosis", ["diagnosis_key"]), ("dim_procedure", ["procedure_key"]),
@@ -81,12 +81,24 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _per_table(tables: dict[str, DataFrame], rules: list[tuple], value: str, names: list[str]) -> DataFrame:
+    """All rules of a table in one scan: one aggregated row, unfolded to a row per rule."""
+    out = []
+    for t in dict.fromkeys(t for t, _ in rules):
+        own = [r for name, r in rules if name == t]
+        one = tables[t].agg(*[r[-1].cast("bigint").alias(f"_{i}") for i, r in enumerate(own)])
+        unfolded = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)], F.col(f"_{i}").alias(value))
+                             for i, r in enumerate(own)])
+        out.append(one.select(F.inline(unfolded)))
+    return _union(out)
+
+
 def key_uniqueness(tables: dict[str, DataFrame]) -> DataFrame:
     """K1/K5: per (table, key): rows, distinct key values with more than one row, surplus rows."""
     out = []
     for t, cols in PRIMARY_KEYS:
-        if t not in tables:
-            continue
+        if t not in tables or not set(cols) <= set(tables[t].columns):
+            continue  # a source without that id column
         per_key = tables[t].groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
         out.append(per_key.agg(
             F.lit(t).alias("table_name"), F.lit(",".join(cols)).alias("key_columns"),
@@ -103,11 +115,13 @@ def orphan_keys(tables: dict[str, DataFrame]) -> DataFrame:
     for child, ccol, parent, pcol in FOREIGN_KEYS:
         if child not in tables or parent not in tables:
             continue
-        c = tables[child].select(F.col(ccol).alias("_k")).where(F.col("_k").isNotNull())
+        # rows per key first: a hot key is one row when it meets its parent
+        c = (tables[child].where(F.col(ccol).isNotNull()).groupBy(F.col(ccol).alias("_k"))
+             .agg(F.count(F.lit(1)).alias("_n")))
         p = tables[parent].select(F.col(pcol).alias("_k"))
         orphans = c.join(p, "_k", "left_anti")
         out.append(orphans.agg(F.lit(f"{child}.{ccol} -> {parent}.{pcol}").alias("relation"),
-                               F.count(F.lit(1)).cast("bigint").alias("orphan_rows")))
+                               F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_rows")))
     return _union(out)
 
 
@@ -115,10 +129,9 @@ def required_columns(tables: dict[str, DataFrame]) -> DataFrame:
     """K3: null count per required column."""
     out = []
     for t, col in REQUIRED:
-        if t in tables:
-            out.append(tables[t].agg(F.lit(t).alias("table_name"), F.lit(col).alias("column_name"),
-                                     F.count(F.when(F.col(col).isNull(), 1)).cast("bigint").alias("null_rows")))
-    return _union(out)
+        if t in tables and col in tables[t].columns:
+            out.append((t, (t, col, F.count(F.when(F.col(col).isNull(), 1)))))
+    return _per_table(tables, out, "null_rows", ["table_name", "column_name"])
 
 
 def calendar_coverage(m: dict[str, DataFrame]) -> DataFrame:
@@ -145,10 +158,8 @@ def string_lengths(tables: dict[str, DataFrame]) -> DataFrame:
     out = []
     for t, col, n in MAX_LENGTHS:
         if t in tables:
-            out.append(tables[t].agg(
-                F.lit(t).alias("table_name"), F.lit(col).alias("column_name"), F.lit(n).alias("max_length"),
-                F.count(F.when(F.length(col) > n, 1)).cast("bigint").alias("too_long_rows")))
-    return _union(out)
+            out.append((t, (t, col, n, F.count(F.when(F.length(col) > n, 1)))))
+    return _per_table(tables, out, "too_long_rows", ["table_name", "column_name", "max_length"])
 
 
 def reconciliation(src: dict[str, DataFrame], m: dict[str, DataFrame]) -> DataFrame:
@@ -157,8 +168,9 @@ def reconciliation(src: dict[str, DataFrame], m: dict[str, DataFrame]) -> DataFr
     money = "decimal(22,2)"
 
     def measures(df: DataFrame, named: list[tuple[str, object]]) -> DataFrame:
-        one = df.agg(*[e.cast(money).alias(n) for n, e in named])  # a single aggregated row
-        return _union([one.select(F.lit(n).alias("measure"), F.col(n).alias("value")) for n, _ in named])
+        one = df.agg(*[e.cast(money).alias(n) for n, e in named])  # one scan, a single aggregated row
+        return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("measure"), F.col(n).alias("value"))
+                                             for n, _ in named])))
 
     rows = F.count(F.lit(1))
     source = _union([
@@ -201,5 +213,5 @@ def fact_grain(m: dict[str, DataFrame]) -> DataFrame:
 
 def all_tables(src: dict[str, DataFrame], m: dict[str, DataFrame]) -> dict[str, DataFrame]:
     t = dict(src)
-    t.update({k: v for k, v in m.items() if not k.endswith("_stored")})
+    t.update({k: v for k, v in m.items() if isinstance(v, DataFrame)})
     return t

@@ -8,9 +8,10 @@ over the whole tables, split by a *data-derived* high-water mark:
   increment the encounters from it on;
 * ``run_date`` = the day after the last encounter (age bands of the batch).
 
-Every stage writes a new version directory (S7) and reads it back, so a
-refresh never mutates files another reader is using, except the late-window
-rewrite (T4), which replaces the fact partitions its window touches (dynamic overwrite).
+Every stage takes the current tables and returns the next ones; the caller writes them to
+a new version directory (S7) and switches, so a refresh never changes files that
+another reader is using.  ``daily_refresh`` chains the stages in the order of the load: dimensions,
+placeholders, calendar, facts (new, changed and late ones together), bridges.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from . import dims as D
 from . import fact as FB
 
 TRACKED_PATIENT = ["full_name", "gender", "date_of_birth", "age_group"]
-MONTHS_BACK = 3          # increment = the last three months
-LATE_WINDOW_MONTHS = 2   # T4 recomputes encounters admitted in the two months before the cutoff and later
+MONTHS_BACK = 3          # the registered queries split the data three months before its end
+LATE_WINDOW_DAYS = 60    # P13: encounters admitted that many days before the mark are recomputed
 
 
 @dataclass(frozen=True)
@@ -41,16 +42,13 @@ class Marks:
     window_start: _dt.date
 
 
-def marks(src: dict[str, DataFrame]) -> Marks:
+def marks(src: dict[str, DataFrame], window_days: int = LATE_WINDOW_DAYS) -> Marks:
     """High-water marks from one aggregate row."""
     day = F.to_date(F.max("encounter_date"))
     r = src["encounters"].agg(F.add_months(F.trunc(day, "month"), -MONTHS_BACK).alias("c"),
                               F.date_add(day, 1).alias("r")).first()
     cutoff = r["c"]
-    m = cutoff.month - LATE_WINDOW_MONTHS
-    y = cutoff.year + (m - 1) // 12
-    window = _dt.date(y, (m - 1) % 12 + 1, 1)
-    return Marks(cutoff, r["r"], window)
+    return Marks(cutoff, r["r"], cutoff - _dt.timedelta(days=window_days))
 
 
 def with_encounters(src: dict[str, DataFrame], encounters: DataFrame) -> dict[str, DataFrame]:
@@ -85,12 +83,34 @@ def patient_batch(src, mk: Marks) -> DataFrame:
 
 
 # ---- T1 -------------------------------------------------------------------
-def incremental_fact_load(fact: DataFrame, src: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
-    """Fact rows for encounters not yet loaded, keys after the current maximum."""
-    new_enc = src["encounters"].join(fact.select("encounter_id"), "encounter_id", "left_anti")
-    rows = FB.fact_rows(with_encounters(src, new_enc), dims)
-    fresh = U.with_new_keys(rows, ["encounter_id"], "encounter_key", U.max_key(fact, "encounter_key"))
-    return fact.unionByName(schemas.conform(fresh, schemas.MART["fact_encounters"]))
+def recompute(fact: DataFrame, src: dict[str, DataFrame], dims: dict[str, DataFrame], ids: DataFrame,
+              on_missing: str = "drop") -> DataFrame:
+    """The fact with the encounters ``ids`` (encounter_id) computed anew from the sources.
+
+    The split is by id, whatever the dates say: rows of other encounters are carried unchanged
+    (those without an admission date too), the others keep their key, and new ones
+    get keys after the maximum.  An encounter of ``ids`` that is gone from the sources is carried.
+    """
+    encounters = src["encounters"].join(ids.select("encounter_id").distinct(), "encounter_id", "left_semi")
+    done = encounters.select("encounter_id")
+    carried = fact.join(done, "encounter_id", "left_anti")
+    old = fact.select(F.col("encounter_id").alias("_id"), F.col("encounter_key").alias("_key"))
+    rows = FB.fact_rows(with_encounters(src, encounters), dims, on_missing)
+    keyed = materialize(rows.join(old, rows.encounter_id == old._id, "left").drop("_id"), "r_rows")
+    known = keyed.where(F.col("_key").isNotNull()).withColumnRenamed("_key", "encounter_key")
+    fresh = U.with_new_keys(keyed.where(F.col("_key").isNull()).drop("_key"), ["encounter_id"], "encounter_key",
+                            U.max_key(fact, "encounter_key"))
+    schema = schemas.MART["fact_encounters"]
+    return reduce(DataFrame.unionByName, [schemas.conform(x, schema) for x in (carried, known, fresh)])
+
+
+def incremental_fact_load(fact: DataFrame, src: dict[str, DataFrame], dims: dict[str, DataFrame],
+                          changed: DataFrame | None = None) -> DataFrame:
+    """Encounters not yet loaded, and those that the extract says were modified (``changed``: encounter_id)."""
+    ids = src["encounters"].select("encounter_id").join(fact.select("encounter_id"), "encounter_id", "left_anti")
+    if changed is not None:
+        ids = ids.unionByName(changed.select("encounter_id"))
+    return recompute(fact, src, dims, ids)
 
 
 def incremental_facts(src, mart) -> DataFrame:
@@ -152,37 +172,18 @@ def calendar_extend(src, mart) -> DataFrame:
 
 
 # ---- T4 ---------------------------------------------------------------------
-def refresh_late_window(fact_path: str, src: dict[str, DataFrame], dims: dict[str, DataFrame],
-                        window_start: _dt.date) -> DataFrame:
-    """T4: recompute measures of encounters admitted since ``window_start`` and rewrite
-    only the fact partitions that hold them (dynamic partition overwrite).
-
-    A touched partition is rewritten whole: its rows before the window are carried
-    over unchanged, its rows in the window are replaced by the recomputed ones.  The
-    rows to rewrite are staged in a new directory first, so the job never reads files
-    it is replacing.
-    """
-    spark = src["encounters"].sparkSession
-    stored = read_table(spark, fact_path)
-    grain = FB.stored_granularity(stored)
+def late_ids(fact: DataFrame, src: dict[str, DataFrame], window_start: _dt.date) -> DataFrame:
+    """Encounters admitted since ``window_start``, by the sources or by the stored fact: one whose
+    date moved into or out of the window is recomputed in either case."""
     start_key = window_start.year * 10000 + window_start.month * 100 + window_start.day
-    touched = stored
-    if grain:
-        touched = stored.where(F.col(FB.PERIOD_COL) >= FB.period_expr(grain, F.lit(start_key)))
-    touched = materialize(FB.read_fact(touched), "r_touched")
-    carried = touched.where(F.col("admission_date_key") < start_key)
-    old_keys = touched.where(F.col("admission_date_key") >= start_key) \
-                      .select(F.col("encounter_id").alias("_id"), F.col("encounter_key").alias("_key"))
-    window = src["encounters"].where(F.to_date("encounter_date") >= F.lit(window_start))
-    rows = FB.fact_rows(with_encounters(src, window), dims)
-    keyed = rows.join(old_keys, rows.encounter_id == old_keys._id, "left")
-    known = keyed.where(F.col("_key").isNotNull()).withColumn("encounter_key", F.col("_key")).drop("_id", "_key")
-    late = keyed.where(F.col("_key").isNull()).drop("_id", "_key")
-    late = U.with_new_keys(late, ["encounter_id"], "encounter_key", U.max_key(stored, "encounter_key"))
-    fact = schemas.MART["fact_encounters"]
-    out = reduce(DataFrame.unionByName, [schemas.conform(x, fact) for x in (carried, known, late)])
-    FB.write_fact(materialize(out, "r_window_rows"), fact_path, grain, mode="overwrite")
-    return FB.read_fact(read_table(spark, fact_path))
+    now = src["encounters"].where(F.to_date("encounter_date") >= F.lit(window_start)).select("encounter_id")
+    return now.unionByName(fact.where(F.col("admission_date_key") >= start_key).select("encounter_id")).distinct()
+
+
+def refresh_late_window(fact: DataFrame, src: dict[str, DataFrame], dims: dict[str, DataFrame],
+                        window_start: _dt.date, on_missing: str = "drop") -> DataFrame:
+    """T4: the next version of the fact, with the encounters of the late window recomputed."""
+    return recompute(fact, src, dims, late_ids(fact, src, window_start), on_missing)
 
 
 def late_window_refresh(src, mart) -> DataFrame:
@@ -191,10 +192,107 @@ def late_window_refresh(src, mart) -> DataFrame:
     mk = marks(src)
     early = dict(src)
     early["billing"] = src["billing"].where(F.col("claim_date") < F.lit(mk.cutoff))
-    path = fresh_path(src["encounters"].sparkSession, "r_fact_late")
-    fact0 = FB.build_fact_encounters(early, mart)
-    FB.write_fact(fact0, path, FB.choose_granularity(fact0))
-    return refresh_late_window(path, src, mart, mk.window_start)
+    spark = src["encounters"].sparkSession
+    layout = FB.declared_layout(spark)
+    path = fresh_path(spark, "r_fact_late")
+    FB.write_fact(FB.build_fact_encounters(early, mart), path, layout)
+    fact0 = FB.read_fact(read_table(spark, path, FB.stored_schema(layout)))
+    switched = fresh_path(spark, "r_fact_late")
+    FB.write_fact(refresh_late_window(fact0, src, mart, mk.window_start), switched, layout)
+    return FB.read_fact(read_table(spark, switched, FB.stored_schema(layout)))
+
+
+# ---- one day's refresh ---------------------------------------------------------
+# natural key and surrogate key of the dimensions that are upserted (Type 1)
+UPSERTS = {"dim_specialty": ("specialty_id", "specialty_key"), "dim_department": ("department_id", "department_key"),
+           "dim_encounter_type": ("encounter_type_name", "encounter_type_key"),
+           "dim_diagnosis": ("diagnosis_id", "diagnosis_key"), "dim_procedure": ("procedure_id", "procedure_key"),
+           "dim_provider": ("provider_id", "provider_key"), "dim_patient": ("patient_id", "patient_key")}
+
+
+def _bridge(old: DataFrame, fact: DataFrame, ids: DataFrame, rows: DataFrame, order: list[str], schema) -> DataFrame:
+    """The links of other encounters, and the links of ``ids`` anew with ids after the maximum."""
+    keys = fact.join(ids, "encounter_id", "left_semi").select("encounter_key")
+    carried = old.join(keys, "encounter_key", "left_anti")
+    fresh = U.with_new_keys(rows, order, "bridge_id", U.max_key(old, "bridge_id"))
+    return schemas.conform(carried, schema).unionByName(schemas.conform(fresh, schema))
+
+
+def daily_refresh(mart: dict[str, DataFrame], src: dict[str, DataFrame], run_date: _dt.date, mark: _dt.date,
+                  window_days: int = LATE_WINDOW_DAYS, changed: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The mart after one day's load; ``mark``: up to where facts were loaded (kept by the caller
+    with the version it switches to), ``changed``: encounters that the extract marks as modified.
+
+    Facts and bridges are rewritten for the same encounters, so they never drift apart.
+    """
+    m = dict(mart)
+    batches = {"dim_specialty": D.build_dim_specialty(src), "dim_department": D.build_dim_department(src),
+               "dim_encounter_type": D.build_dim_encounter_type(src), "dim_diagnosis": D.build_dim_diagnosis(src),
+               "dim_procedure": D.build_dim_procedure(src), "dim_patient": D.patient_attributes(src["patients"], run_date)}
+    for dim, (nk, key) in UPSERTS.items():
+        if dim == "dim_provider":
+            batches[dim] = D.build_dim_provider(src, m["dim_specialty"], m["dim_department"])
+        m[dim] = materialize(U.upsert_type1(m[dim], batches[dim].drop(key), nk, key), f"r_{dim}")
+    ids = late_ids(m["fact_encounters"], src, mark - _dt.timedelta(days=window_days))
+    ids = ids.unionByName(src["encounters"].select("encounter_id")
+                          .join(m["fact_encounters"].select("encounter_id"), "encounter_id", "left_anti"))
+    if changed is not None:
+        ids = ids.unionByName(changed.select("encounter_id"))
+    ids = materialize(ids.distinct(), "r_ids")
+    touched = src["encounters"].join(ids, "encounter_id", "left_semi")
+    m["dim_patient"] = materialize(U.placeholders(m["dim_patient"], touched, "patient_id", "patient_key",
+                                                  {"current_flag": F.lit(True)}), "r_dim_patient")
+    days = touched.select(F.to_date("encounter_date").alias("full_date")).unionByName(
+        touched.select(F.to_date("discharge_date").alias("full_date")))
+    m["dim_date"] = materialize(extend_calendar(m["dim_date"], days), "r_dim_date")
+    m["fact_encounters"] = materialize(recompute(m["fact_encounters"], src, m, ids), "r_fact")
+    part = with_encounters(src, touched)
+    m["bridge_encounter_diagnoses"] = materialize(_bridge(
+        m["bridge_encounter_diagnoses"], m["fact_encounters"], ids,
+        FB.bridge_diagnosis_rows(part, m["fact_encounters"], m["dim_diagnosis"]),
+        ["encounter_key", "diagnosis_sequence", "diagnosis_key"], schemas.MART["bridge_encounter_diagnoses"]),
+        "r_bridge_diagnoses")
+    m["bridge_encounter_procedures"] = materialize(_bridge(
+        m["bridge_encounter_procedures"], m["fact_encounters"], ids,
+        FB.bridge_procedure_rows(part, m["fact_encounters"], m["dim_procedure"]),
+        ["encounter_key", "procedure_key"], schemas.MART["bridge_encounter_procedures"]), "r_bridge_procedures")
+    return m
+
+
+def refreshed_mart(src) -> dict[str, DataFrame]:
+    """The load as of the cutoff (with the claims that had arrived by then), then one refresh to the end."""
+    mk = marks(src)
+    state, _ = split_encounters(src, mk.cutoff)
+    recent = (state["encounters"].where(F.to_date("encounter_date") >= F.lit(mk.window_start))
+              .select("encounter_id", F.lit(True).alias("_recent")))
+    state["billing"] = (state["billing"].join(recent, "encounter_id", "left")
+                        .where(F.col("_recent").isNull() | (F.col("claim_date") < F.lit(mk.cutoff))).drop("_recent"))
+    state["patients"] = known_patients(src, state)
+    return daily_refresh(FB.build_all(state, mk.cutoff), src, mk.run_date, mk.cutoff)
+
+
+def daily_refresh_fact(src, mart) -> DataFrame:
+    """The fact after load and refresh, by natural keys."""
+    m = refreshed_mart(src)
+    f = m["fact_encounters"].drop("encounter_key")
+    for dim, key, name in (("dim_patient", "patient_key", "patient_id"), ("dim_provider", "provider_key", "provider_id"),
+                           ("dim_department", "department_key", "department_id"),
+                           ("dim_encounter_type", "encounter_type_key", "encounter_type_name")):
+        f = f.join(m[dim].select(key, name), key, "left").drop(key)
+    return f
+
+
+def daily_refresh_bridges(src, mart) -> DataFrame:
+    """The links of both bridges after load and refresh, by natural keys."""
+    m = refreshed_mart(src)
+    f = m["fact_encounters"].select("encounter_key", "encounter_id")
+    d = (m["bridge_encounter_diagnoses"].join(f, "encounter_key").join(m["dim_diagnosis"], "diagnosis_key")
+         .select(F.lit("diagnosis").alias("kind"), "encounter_id", F.col("diagnosis_id").alias("code_id"),
+                 F.col("diagnosis_sequence").alias("place")))
+    p = (m["bridge_encounter_procedures"].join(f, "encounter_key").join(m["dim_procedure"], "procedure_key")
+         .select(F.lit("procedure").alias("kind"), "encounter_id", F.col("procedure_id").alias("code_id"),
+                 F.lit(None).cast("int").alias("place")))
+    return d.unionByName(p)
 
 
 # ---- T7 / J15 -------------------------------------------------------------------

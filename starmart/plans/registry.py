@@ -78,7 +78,8 @@ def queries() -> dict[str, Query]:
         "dq_string_lengths": both(lambda s, m: K.string_lengths(K.all_tables(s, m))),
     })
     for name in ("incremental_facts", "scd1_upsert_patient", "insert_ignore_patient", "scd2_patient",
-                 "inferred_patients", "calendar_extend", "late_window_refresh", "unknown_member_fact"):
+                 "inferred_patients", "calendar_extend", "late_window_refresh", "unknown_member_fact",
+                 "daily_refresh_fact", "daily_refresh_bridges"):
         q[name] = both(getattr(R, name))
     q["scalar_subquery_counts"] = _src(RS.scalar_subquery_counts)
     q["stream_fact_load"] = ST.stream_fact_load

@@ -5,10 +5,7 @@ statement over temp views of them (``{table}`` placeholders).  Result columns
 keep the reference's names; counts are BIGINT, money DECIMAL(22,2), rates
 DECIMAL(10,4) with MySQL's four-decimal division.
 
-Result order: a report result is bounded by dimension sizes (months x
-specialties x types), so it is gathered into one partition and sorted there
-(``REPARTITION(1)`` + ``SORT BY``), which skips the sampling job of a global
-range sort while every aggregation before it stays parallel.
+Result order is a plain ``ORDER BY``: a range sort over as many tasks as the result needs.
 """
 
 from __future__ import annotations
@@ -24,19 +21,20 @@ MONEY_SUM = "decimal(22,2)"
 
 
 def ordered(select: str, sort_by: str) -> str:
-    """Gather a bounded report result into one partition and sort it there."""
-    return f"SELECT /*+ REPARTITION(1) */ * FROM ({select}) SORT BY {sort_by}"
+    return f"SELECT * FROM ({select}) ORDER BY {sort_by}"
 
 
 def q1_source(src) -> DataFrame:
     """Monthly encounters and unique patients by specialty and type."""
     return sql(src, ordered("""
-        SELECT date_format(e.encounter_date, 'yyyy-MM') AS encounter_month, s.specialty_name, e.encounter_type,
-               COUNT(e.encounter_id) AS total_encounters, COUNT(DISTINCT e.patient_id) AS unique_patients
-        FROM {encounters} e
-        JOIN {providers} p ON e.provider_id = p.provider_id
-        JOIN {specialties} s ON p.specialty_id = s.specialty_id
-        GROUP BY date_format(e.encounter_date, 'yyyy-MM'), s.specialty_name, e.encounter_type""",
+        WITH visits AS (
+          SELECT provider_id, encounter_type, patient_id, date_format(encounter_date, 'yyyy-MM') AS encounter_month,
+                 COUNT(encounter_id) AS visits
+          FROM {encounters} GROUP BY ALL)
+        SELECT encounter_month, specialty_name, encounter_type, SUM(visits) AS total_encounters,
+               COUNT(DISTINCT patient_id) AS unique_patients
+        FROM visits JOIN {providers} USING (provider_id) JOIN {specialties} USING (specialty_id)
+        GROUP BY encounter_month, specialty_name, encounter_type""",
         "encounter_month, specialty_name"))
 
 
@@ -83,8 +81,10 @@ def q3_source(src, days: int = 30) -> DataFrame:
         dept_spec AS (SELECT DISTINCT p.department_id, s.specialty_name
                       FROM (SELECT DISTINCT department_id, specialty_id FROM {providers}) p
                       JOIN {specialties} s ON p.specialty_id = s.specialty_id),
+        per_patient AS (SELECT department_id, patient_id, bool_or(within) AS within
+                 FROM flagged GROUP BY department_id, patient_id),
         attributed AS (SELECT ds.specialty_name, f.patient_id, f.within
-                 FROM flagged f JOIN dept_spec ds ON f.department_id = ds.department_id)
+                 FROM per_patient f JOIN dept_spec ds ON f.department_id = ds.department_id)
         """ + readmission_summary_sql("attributed", "specialty_name", "patient_id"))
 
 
@@ -101,17 +101,18 @@ def q3_source_provider(src, days: int = 30) -> DataFrame:
 def q4_source(src) -> DataFrame:
     """Allowed amount by claim month and specialty.
 
-    Billing is pre-aggregated to (encounter, month) before it meets encounters.
+    Encounters carry their specialty before they meet billing, so claims are shuffled once
+    (a hot encounter is split by the skew join) and summed by month and specialty map-side.
     """
     return sql(src, ordered(f"""
-        SELECT b.billing_month, s.specialty_name, CAST(SUM(b.rev) AS {MONEY_SUM}) AS total_revenue
-        FROM (SELECT encounter_id, date_format(claim_date, 'yyyy-MM') AS billing_month,
-                     SUM(allowed_amount) AS rev
-              FROM {{billing}} GROUP BY encounter_id, date_format(claim_date, 'yyyy-MM')) b
-        JOIN {{encounters}} e ON b.encounter_id = e.encounter_id
-        JOIN {{providers}} p ON e.provider_id = p.provider_id
-        JOIN {{specialties}} s ON p.specialty_id = s.specialty_id
-        GROUP BY b.billing_month, s.specialty_name""", "billing_month, total_revenue DESC"))
+        WITH owner AS (
+          SELECT encounters.encounter_id, named.specialty_name FROM {{encounters}} AS encounters
+          JOIN (SELECT provider_id, specialty_name FROM {{providers}} JOIN {{specialties}} USING (specialty_id)) AS named
+            USING (provider_id))
+        SELECT date_format(claims.claim_date, 'yyyy-MM') AS billing_month, owner.specialty_name,
+               CAST(SUM(claims.allowed_amount) AS {MONEY_SUM}) AS total_revenue
+        FROM {{billing}} AS claims JOIN owner USING (encounter_id)
+        GROUP BY 1, 2""", "billing_month, total_revenue DESC"))
 
 
 def scalar_subquery_counts(src) -> DataFrame:

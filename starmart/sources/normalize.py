@@ -2,7 +2,7 @@
 
 MySQL's default collation ignores case, so 'inpatient' joins and filters like
 'Inpatient' there; Spark compares bytes.  Encounter types are therefore mapped
-to their canonical spelling (case and surrounding blanks ignored) before any
+to their canonical spelling (case ignored, blanks kept: they count in that collation) before any
 dimension, fact or report reads them.  Values outside the domain are kept as
 they are, so the K7 check still reports them.
 """
@@ -16,7 +16,7 @@ from ..plans.quality import ENCOUNTER_TYPES
 
 
 def canonical_type(c: Column) -> Column:
-    key = F.lower(F.trim(c))
+    key = F.lower(c)
     out = None
     for name in ENCOUNTER_TYPES:
         out = F.when(key == name.lower(), F.lit(name)) if out is None else out.when(key == name.lower(), F.lit(name))

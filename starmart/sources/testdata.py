@@ -56,7 +56,7 @@ def stage_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     providers = (supplier.join(nation, supplier.s_nationkey == nation.n_nationkey, "left")
                  .select(F.col("s_suppkey").alias("provider_id"),
                          F.lit("Supplier").alias("first_name"),
-                         F.substring("s_name", 10, 1 << 20).alias("last_name"),
+                         F.expr("substring(s_name, 10)").alias("last_name"),
                          F.lit("MD").alias("credential"),
                          F.col("s_nationkey").cast("bigint").alias("specialty_id"),
                          F.col("n_regionkey").cast("bigint").alias("department_id")))
@@ -64,7 +64,7 @@ def stage_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     patients = customer.select(
         F.col("c_custkey").alias("patient_id"),
         F.lit("Customer").alias("first_name"),
-        F.substring("c_name", 10, 1 << 20).alias("last_name"),
+        F.expr("substring(c_name, 10)").alias("last_name"),
         F.date_add(F.lit(BIRTH_BASE), ((F.col("c_custkey") * BIRTH_MULT) % BIRTH_SPAN).cast("int"))
          .alias("date_of_birth"),
         F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M").alias("gender"),
@@ -91,7 +91,7 @@ def stage_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                  F.lit("."), (F.col("p_size") % 5).cast("string")).alias("icd10_code"),
         F.col("p_name").alias("icd10_description"))
 
-    brand_no = F.substring("p_brand", 7, 1 << 20).cast("bigint")
+    brand_no = F.expr("substring(p_brand, 7)").cast("bigint")
     procedures = (part.select("p_brand").distinct()
                   .select(brand_no.alias("procedure_id"),
                           F.lpad(((brand_no * CPT_MULT) % 100000).cast("string"), 5, "0").alias("cpt_code"),

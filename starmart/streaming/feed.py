@@ -2,21 +2,19 @@
 
 Source: the ``events`` Parquet files read as a file stream (event_id is the
 encounter id, user_id the patient, ts the encounter time, event_type the
-encounter type, value the amount).  The stream is deduplicated on the
-encounter id inside a 60-day watermark (stateful, bounded state), then each
-micro-batch is merged into Parquet tables by ``foreachBatch``:
-
-* ``stream_fact``: encounter rows, keyed upsert (Type 1) by encounter id,
-  partitioned by encounter month; a batch replaces only the months it touches
-  (dynamic partition overwrite), so work per batch follows the batch, not the
-  table.  Replaying a batch gives the same files (idempotent).
-* ``stream_monthly``: encounters and distinct patients per month and type,
-  recomputed exactly for the touched months from ``stream_fact`` (streaming
-  has no exact distinct count, so the touched months are re-aggregated).
+encounter type, value the amount).  Every micro-batch is written once, as one
+directory of an append-only log (``foreachBatch``; a replayed batch overwrites its own
+directory, so it counts once).  Nothing is dropped for being late, and the work of a batch
+follows the batch.
+
+* ``fact``: the newest version of every encounter over the whole log, whatever its
+  month: the last batch wins, within a batch the latest event time (W2).  A correction replaces the
+  earlier row even if it changes the month.  ``compact`` folds the log into one directory.
+* ``monthly``: encounters and distinct patients per month and type of ``fact``.
 
 ``trigger(availableNow=True)`` processes what is there and stops; the same
 code runs continuously with a processing-time trigger.  Empty batches are
-accepted.  Checkpoints live below the shared folder.
+accepted.  The checkpoint has a fixed place beside the log, so a restarted feed resumes.
 """
 
 from __future__ import annotations
@@ -28,9 +26,7 @@ from .. import schemas
 from ..functions import dates
 from ..operators.upsert import latest_per_key
 from ..session import fresh_path
-from ..sources.store import materialize, read_table, write_table
-
-WATERMARK = "60 days"
+from ..sources.store import read_table, write_table
 
 FACT_SCHEMA = "encounter_id BIGINT, patient_id BIGINT, encounter_type STRING, encounter_time TIMESTAMP_NTZ, " \
               "amount DECIMAL(12,2), admission_date_key INT, encounter_month INT"
@@ -39,7 +35,7 @@ MONTHLY_SCHEMA = "encounter_month INT, month_label STRING, encounter_type STRING
 
 
 def encounter_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame of encounter rows, deduplicated within the watermark."""
+    """Streaming frame of encounter rows."""
     r = spark.readStream.schema(schemas.RAW["events"])
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
@@ -49,9 +45,7 @@ def encounter_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int |
     return (raw.select(F.col("event_id").alias("encounter_id"), F.col("user_id").alias("patient_id"),
                        F.col("event_type").alias("encounter_type"),
                        t.cast("timestamp").alias("event_ts"),
-                       F.col("value").cast("decimal(12,2)").alias("amount"))
-               .withWatermark("event_ts", WATERMARK)
-               .dropDuplicatesWithinWatermark(["encounter_id"]))
+                       F.col("value").cast("decimal(12,2)").alias("amount")))
 
 
 def _fact_rows(batch: DataFrame) -> DataFrame:
@@ -61,44 +55,41 @@ def _fact_rows(batch: DataFrame) -> DataFrame:
                         (F.year(t) * 100 + F.month(t)).alias("encounter_month"))
 
 
-def _empty(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 class StreamTables:
-    """Paths of the two sink tables and the merge logic run for every micro-batch."""
+    """The log of batches below ``root``, and the tables it stands for."""
 
-    def __init__(self, spark: SparkSession, fact_path: str | None = None, monthly_path: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.fact_path = fact_path or fresh_path(spark, "stream_fact")
-        self.monthly_path = monthly_path or fresh_path(spark, "stream_monthly")
-        write_table(_empty(spark, FACT_SCHEMA), self.fact_path, ["encounter_month"])
-        write_table(_empty(spark, MONTHLY_SCHEMA), self.monthly_path, ["encounter_month"])
+        self.root = root or fresh_path(spark, "stream")
+        self.log_schema = f"{FACT_SCHEMA}, batch BIGINT"
+        self._log_of(spark.createDataFrame([], self.log_schema), -1)  # readers need a first directory
 
-    def fact(self) -> DataFrame:
-        return read_table(self.spark, self.fact_path, FACT_SCHEMA)
-
-    def monthly(self) -> DataFrame:
-        return read_table(self.spark, self.monthly_path, MONTHLY_SCHEMA)
+    def _log_of(self, rows: DataFrame, batch: int) -> None:
+        write_table(rows.drop("batch"), f"{self.root}/log/batch={batch}")
 
     def merge_batch(self, batch: DataFrame, batch_id: int) -> None:
         rows = latest_per_key(_fact_rows(batch), "encounter_id", "encounter_time")
-        # months touched by the batch: bounded by the watermark span, one row each
-        months = [r[0] for r in rows.select("encounter_month").distinct().collect()]
-        if not months:
-            return
-        current = self.fact().where(F.col("encounter_month").isin(months))
-        merged = current.join(rows.select("encounter_id"), "encounter_id", "left_anti").unionByName(rows)
-        staged = materialize(merged, "stream_stage")        # cut the read of the files we replace
-        write_table(staged.repartition("encounter_month"), self.fact_path, ["encounter_month"])
-        touched = self.fact().where(F.col("encounter_month").isin(months))
-        monthly = (touched.groupBy("encounter_month", "encounter_type")
-                   .agg(F.count("encounter_id").alias("total_encounters"),
-                        F.count_distinct("patient_id").alias("unique_patients"))
-                   .withColumn("month_label", F.format_string("%04d-%02d", (F.col("encounter_month") / 100)
-                                                               .cast("int"), F.col("encounter_month") % 100)))
-        write_table(monthly.select(*[c.split()[0] for c in MONTHLY_SCHEMA.split(", ")]),
-                    self.monthly_path, ["encounter_month"])
+        self._log_of(rows, batch_id)
+
+    def log(self) -> DataFrame:
+        return read_table(self.spark, f"{self.root}/log", self.log_schema)
+
+    def fact(self) -> DataFrame:
+        return latest_per_key(self.log(), "encounter_id", "batch").drop("batch")
+
+    def compact(self) -> "StreamTables":
+        """New tables below a new root that hold the newest versions only; the caller switches to them."""
+        new = StreamTables(self.spark)
+        write_table(latest_per_key(self.log(), "encounter_id", "batch"), f"{new.root}/log", ["batch"])
+        return new
+
+    def monthly(self) -> DataFrame:
+        month = F.col("encounter_month")
+        return (self.fact().groupBy("encounter_month", "encounter_type")
+                .agg(F.count("encounter_id").alias("total_encounters"),
+                     F.count_distinct("patient_id").alias("unique_patients"))
+                .withColumn("month_label", F.format_string("%04d-%02d", (month / 100).cast("int"), month % 100))
+                .select(*[c.split()[0] for c in MONTHLY_SCHEMA.split(", ")]))
 
 
 def run_feed(spark: SparkSession, sf_dir: str, tables: StreamTables | None = None,
@@ -107,7 +98,7 @@ def run_feed(spark: SparkSession, sf_dir: str, tables: StreamTables | None = Non
     tables = tables or StreamTables(spark)
     q = (encounter_stream(spark, sf_dir, files_per_trigger).writeStream
          .foreachBatch(tables.merge_batch)
-         .option("checkpointLocation", fresh_path(spark, "stream_ckpt"))
+         .option("checkpointLocation", f"{tables.root}/checkpoint")
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()

