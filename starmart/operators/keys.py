@@ -4,21 +4,17 @@
 same result as ``row_number() OVER (ORDER BY order_cols)`` when the order is
 unique, but computed in parallel:
 
-1. range-partition on the order columns and sort each partition;
+1. range-partition on the order columns (adaptive execution sizes the partitions) and sort
+   each partition;
 2. tag rows with ``monotonically_increasing_id`` (partition id in the high
    bits, position in the partition in the low 33 bits);
-3. checkpoint the tagged frame to the shared folder, so the partition layout
+3. write the tagged rows to the shared folder as Parquet, so the partition layout
    and positions are fixed (the range bounds come from sampling) and a lost
    executor re-reads instead of re-sampling;
-4. count rows per partition.  That table has one row per partition (bounded
-   by the partition count, not by the data): it comes to the driver, becomes
+4. count rows per partition, from the tag column alone.  That table has one row per partition
+   (bounded by the partition count, not by the data): it comes to the driver, becomes
    an offsets table and is broadcast, a size bound that holds at any volume.
 
-The total row count falls out of step 4, so the result is coalesced (a narrow
-merge of neighbouring range partitions, order kept) to about
-``spark.starmart.rowsPerPartition`` rows per partition: a small dimension is written
-as one file, a large fact keeps its parallelism.
-
 ``sequence_within`` gives ``row_number() OVER (PARTITION BY g ORDER BY o)``
 the same way: a global key over (g, o) minus the first key of the group.
 A hot group is split across range partitions instead of landing in one task.
@@ -26,38 +22,22 @@ A hot group is split across range partitions instead of landing in one task.
 
 from __future__ import annotations
 
-import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..sources.store import materialize
 
 _LOW_BITS = (1 << 33) - 1
-ROWS_PER_PARTITION = "spark.starmart.rowsPerPartition"
-DEFAULT_ROWS_PER_PARTITION = 2_000_000
-
-
-def _partitions_for(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def rows_per_partition(spark) -> int:
-    return int(spark.conf.get(ROWS_PER_PARTITION, str(DEFAULT_ROWS_PER_PARTITION)))
 
 
 def assign_dense_key(df: DataFrame, order_cols: list[str], key_col: str,
                      num_partitions: int | None = None) -> DataFrame:
     """Add ``key_col`` (BIGINT, 1..n) in the order of ``order_cols``."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = _partitions_for(df, num_partitions)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    tagged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
-                .withColumn("_sm_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    tagged = materialize(ranged.sortWithinPartitions(*order)
+                               .withColumn("_sm_mid", F.monotonically_increasing_id()), "keys")
     pid = F.shiftright("_sm_mid", 33)
     counts = sorted((r[0], r[1]) for r in tagged.groupBy(pid.alias("p")).count().collect())
     offsets, running = {}, 0
@@ -65,13 +45,11 @@ def assign_dense_key(df: DataFrame, order_cols: list[str], key_col: str,
         offsets[p] = running
         running += c
     off = spark.createDataFrame(list(offsets.items()) or [(0, 0)], "_sm_pid bigint, _sm_off bigint")
-    out = (tagged.withColumn("_sm_pid", pid)
-                 .join(F.broadcast(off), "_sm_pid")
-                 .withColumn(key_col, (F.col("_sm_off") + F.col("_sm_mid").bitwiseAND(F.lit(_LOW_BITS)) + 1)
-                             .cast("bigint"))
-                 .drop("_sm_mid", "_sm_pid", "_sm_off"))
-    target = max(1, math.ceil(running / rows_per_partition(spark)))
-    return out.coalesce(target) if target < n else out
+    return (tagged.withColumn("_sm_pid", pid)
+                  .join(F.broadcast(off), "_sm_pid")
+                  .withColumn(key_col, (F.col("_sm_off") + F.col("_sm_mid").bitwiseAND(F.lit(_LOW_BITS)) + 1)
+                              .cast("bigint"))
+                  .drop("_sm_mid", "_sm_pid", "_sm_off"))
 
 
 def sequence_within(df: DataFrame, group_cols: list[str], order_cols: list[str], seq_col: str,

@@ -36,10 +36,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = os.environ.get("STARMART_DRIVER_MEMORY", "8g")
-    # file layout for local data sizes (cluster defaults: 5M rows per file, 2M rows
-    # per key-assignment partition); see sources/store.py and operators/keys.py
+    # file layout for local data sizes (cluster default: 5M rows per file); see sources/store.py
     conf["spark.starmart.maxRecordsPerFile"] = "100000"
-    conf["spark.starmart.rowsPerPartition"] = "20000"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

@@ -7,7 +7,9 @@ lost executor re-reads files instead of recomputing the whole build.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..session import fresh_path
 
@@ -41,3 +43,27 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     path = path or fresh_path(df.sparkSession, label)
     write_table(df, path, partition_by)
     return read_table(df.sparkSession, path, df.schema).select(*df.columns)
+
+
+_VERSIONS = "version BIGINT, path STRING, mark STRING"
+
+
+def publish(spark, root: str, path: str, mark: str | None = None) -> int:
+    """Switch the table ``root`` to the version written at ``path``; returns the version number.
+
+    The switch is one appended row, so readers see the old version or the new one.  ``mark`` is kept
+    with it (the day up to which an incremental load has come).
+    """
+    version = (current(spark, root) or (0,))[0] + 1
+    spark.createDataFrame([(version, path, mark)], _VERSIONS).coalesce(1).write.mode("append").parquet(f"{root}/_versions")
+    return version
+
+
+def current(spark, root: str) -> tuple[int, str, str | None] | None:
+    """(version, path, mark) that ``root`` points at; None before the first one."""
+    try:
+        log = spark.read.schema(_VERSIONS).parquet(f"{root}/_versions")
+    except AnalysisException:  # nothing published yet
+        return None
+    newest = log.orderBy(F.desc("version")).first()
+    return tuple(newest) if newest else None

@@ -18,6 +18,11 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="session")
+def sf_dir():
+    return "/root/testdata/sf0.01"
+
+
 @pytest.fixture(scope="session")
 def seed(spark):
     from seed import seed_sources

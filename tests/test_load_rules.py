@@ -165,3 +165,11 @@ def test_stream_is_lossless(spark, tmp_path):
         assert {r.encounter_id: (r.encounter_type, r.amount, r.encounter_month) for r in got} == want
         assert len(got) == 4
     assert sum(r.total_encounters for r in tables.monthly().collect()) == 4
+
+
+def test_versions_are_switched_by_a_stored_pointer(spark, tmp_path):
+    from starmart.sources.store import current, publish
+    root = str(tmp_path / "fact")
+    assert current(spark, root) is None
+    assert publish(spark, root, "/a", "2024-06-01") == 1 and publish(spark, root, "/b") == 2
+    assert current(spark, root) == (2, "/b", None)
