@@ -6,7 +6,7 @@ mixing of sources -> sharding.  Each stage takes the documents that the one befo
 ``documents``.  ``run`` writes each result as Parquet in the shared folder and reads it again.
 
 Rows are told apart by doc_id and a hash of the text; rows alike in both count as
-copies of one another.  Null ids, null texts and an empty table pass through every stage.
+copies of one another.  Null ids, null texts and an empty table crash no stage; further columns are kept.
 """
 
 from __future__ import annotations
@@ -72,7 +72,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixed documents with size, shard and slot."""
+    """The mixed documents with size, shard and slot (which replace columns of these names)."""
+    docs = docs.drop("size", "shard", "slot", "g")
     rows = docs.withColumn("_g", F.xxhash64("text")).withColumn("_size", sharding.text_size())
     placed = sharding.shard_rows(rows, SHARDS)
     return placed.select(*docs.columns, F.col("_size").alias("size"), "shard", "slot")
