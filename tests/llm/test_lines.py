@@ -2,7 +2,7 @@ import random
 
 import pyarrow as pa
 import pytest
-from parity import assert_same
+from against_sql import assert_same
 
 from starmart.llm.lines import (deduplicated_lines, line_dedup_report, line_dedup_sql, rank_levels, repeated_lines,
                                 without_repeats)

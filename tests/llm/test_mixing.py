@@ -1,5 +1,5 @@
 import pyarrow as pa
-from parity import assert_same
+from against_sql import assert_same
 from pyspark.sql import functions as F
 
 from starmart.llm.mixing import mix, mixed_documents, mixing_sql, sized_documents, source_targets

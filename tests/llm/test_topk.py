@@ -1,7 +1,7 @@
 import math
 import random
 
-from parity import assert_same
+from against_sql import assert_same
 
 from starmart.llm.queries import op9_exact_top_k
 from starmart.llm.topk import TOP_K_SQL, top_k

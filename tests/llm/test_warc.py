@@ -4,7 +4,7 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from parity import assert_same
+from against_sql import assert_same
 
 from starmart.llm.queries import op7_warc
 from starmart.llm.warc import WARC_SQL, LoserTree, capture_histories, read_archives, write_archives
