@@ -33,12 +33,6 @@ def is_weekend(c: Column, weekend_days=(6, 7)) -> Column:
     return F.dayofweek(c).isin(*weekend_days)
 
 
-def add_days(ts: Column, days) -> Column:
-    """DATE_ADD(ts, INTERVAL n DAY) keeping the time of day."""
-    n = days if isinstance(days, Column) else F.lit(int(days))
-    return F.timestamp_add("DAY", n, ts)
-
-
 def days_between(end: Column, start: Column) -> Column:
     """MySQL DATEDIFF(end, start): calendar days of the date parts."""
     return F.datediff(F.to_date(end), F.to_date(start))
