@@ -68,7 +68,7 @@ def duck(skewed):
 @pytest.mark.parametrize("name", ["q3_source", "q3_source_provider", "q2_source"])
 def test_hot_keys_match_plain_sql(skewed, duck, name):
     got = getattr(RS, name)(skewed)
-    res = duck.execute(oracle.Q[name])
+    res = duck.execute(oracle.over_loaded_tables(name))
     want_cols = [d[0] for d in res.description]
     assert sorted(got.columns) == sorted(want_cols)
     assert normalise(got.columns, [tuple(r) for r in got.collect()]) == normalise(want_cols, res.fetchall())
@@ -88,6 +88,6 @@ def test_hot_keys_star(skewed_mart, name):
         con.register(f"{t}_pd", df.toPandas())
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM {t}_pd")
     got = getattr(RM, name)(skewed_mart)
-    res = con.execute(oracle.Q[name])
+    res = con.execute(oracle.over_loaded_tables(name))
     want_cols = [d[0] for d in res.description]
     assert normalise(got.columns, [tuple(r) for r in got.collect()]) == normalise(want_cols, res.fetchall())
