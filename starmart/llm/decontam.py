@@ -41,7 +41,7 @@ BLOCK_CHARS = 1 << 19
 #: words of documents that are worked on together
 TOGETHER = 1 << 17
 #: terms of one shuffled piece of the sketch
-PIECE = 256
+PIECE = 64
 _PLAIN = bytes(32 if c < 48 or 58 <= c <= 64 or 91 <= c <= 96 or 123 <= c <= 127
                else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -234,17 +234,22 @@ class Search:
         self.s, self.items = s, items
         self.index = {w: i for i, w in enumerate(kept)}
         self.basis = (basis * idf[:, None]).astype(np.float32)
-        vectors, self.owner = self._windows([i.words for i in items])[:2]
-        self.vectors = vectors
+        self.need = 1
+        self.vectors, self.owner, _, held = self._windows([i.words for i in items])
+        # windows of a document with a single weighted word are skipped if every item has a window with two
+        fullest = np.zeros(len(items), int)
+        np.maximum.at(fullest, self.owner, held)
+        self.need = int(min(2, fullest.min(initial=2)))
         self.masks = [(i.masks(), Item(0, i.answer, []).masks()) for i in items]
 
     def _windows(self, lists):
-        """Unit vectors of all windows (two neighbouring half windows), their document and first word."""
+        """Unit vectors of all windows (two neighbouring half windows), their document, first word
+        and number of weighted words."""
         half = self.s.window // 2
         chunk, term, first, n = _sparse(lists, self.index, half)
         empty = np.zeros((0, self.basis.shape[1]), np.float32)
         if not len(chunk):
-            return empty, np.zeros(0, int), np.zeros(0, int)
+            return empty, np.zeros(0, int), np.zeros(0, int), np.zeros(0, int)
         full = np.flatnonzero(np.diff(chunk, prepend=-1))
         sums = np.add.reduceat(self.basis[term], full, axis=0)
         where = np.full(n + 1, -1)
@@ -255,18 +260,21 @@ class Search:
         one = where[starts]
         two = np.where((starts + 1 < n) & (doc_of[np.minimum(starts + 1, n - 1)] == doc_of[starts]),
                        where[starts + 1], -1)
-        some = (one >= 0) | (two >= 0)
-        one, two, starts = one[some], two[some], starts[some]
+        words = np.append(np.diff(np.append(full, len(chunk))), 0)
+        held = words[one] + words[two]
+        some = held >= self.need
+        one, two, starts, held = one[some], two[some], starts[some], held[some]
         padded = np.concatenate([sums, np.zeros((1, sums.shape[1]), np.float32)])
         vectors = padded[one] + padded[two]
         norm = np.linalg.norm(vectors, axis=1)
         some = norm > 1e-9
         starts = starts[some]
-        return vectors[some] / norm[some, None], doc_of[starts], (starts - first[doc_of[starts]]) * half
+        at = doc_of[starts]
+        return vectors[some] / norm[some, None], at, (starts - first[at]) * half, held[some]
 
     def find(self, lists: list[list[bytes]]):
         """(document, item, cosine, share of the item, share of the answer, first word) of every match."""
-        vectors, doc_of, first = self._windows(lists)
+        vectors, doc_of, first, _ = self._windows(lists)
         best: dict[tuple[int, int], list] = {}
         for at in range(0, len(vectors), 4096):
             near = vectors[at:at + 4096] @ self.vectors.T
