@@ -162,12 +162,28 @@ def _rows(chunk, term, idf):
     return row, term, weight / norm[row], len(starts)
 
 
+def _chunk_sums(term: np.ndarray, starts: np.ndarray, basis: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
+    """Sum of the (weighted) basis rows of each chunk's terms, and a last row of zeros; most chunks have one or two."""
+    counts = np.diff(np.append(starts, len(term)))
+    sums = np.zeros((len(starts) + 1, basis.shape[1]), basis.dtype)
+    np.take(basis, term[starts], axis=0, out=sums[:-1])
+    if weight is not None:
+        sums[:-1] *= weight[starts, None]
+    more, k = np.flatnonzero(counts > 1), 1
+    while len(more):
+        at = starts[more] + k
+        sums[more] += basis[term[at]] if weight is None else basis[term[at]] * weight[at, None]
+        k += 1
+        more = more[counts[more] > k]
+    return sums
+
+
 def _project(row, term, weight, rows, basis):
     """Rows times ``basis`` (entries stand sorted by row)."""
     if not rows:
         return np.zeros((0, basis.shape[1]), basis.dtype)
     starts = np.flatnonzero(np.diff(row, prepend=-1))
-    return np.add.reduceat(basis[term] * weight[:, None].astype(basis.dtype), starts, axis=0)
+    return _chunk_sums(term, starts, basis, weight.astype(basis.dtype))[:-1]
 
 
 def _sketch(docs: DataFrame, kept: list[bytes], idf: np.ndarray, s: Settings) -> np.ndarray:
@@ -251,7 +267,7 @@ class Search:
         if not len(chunk):
             return empty, np.zeros(0, int), np.zeros(0, int), np.zeros(0, int)
         full = np.flatnonzero(np.diff(chunk, prepend=-1))
-        sums = np.add.reduceat(self.basis[term], full, axis=0)
+        padded = _chunk_sums(term, full, self.basis)
         where = np.full(n + 1, -1)
         where[chunk[full]] = np.arange(len(full))
         doc_of = np.repeat(np.arange(len(lists)), np.diff(first))
@@ -264,13 +280,15 @@ class Search:
         held = words[one] + words[two]
         some = held >= self.need
         one, two, starts, held = one[some], two[some], starts[some], held[some]
-        padded = np.concatenate([sums, np.zeros((1, sums.shape[1]), np.float32)])
-        vectors = padded[one] + padded[two]
-        norm = np.linalg.norm(vectors, axis=1)
+        vectors = padded[one]
+        vectors += padded[two]
+        norm = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
         some = norm > 1e-9
-        starts = starts[some]
+        if not some.all():
+            vectors, norm, starts, held = vectors[some], norm[some], starts[some], held[some]
+        vectors /= norm[:, None]
         at = doc_of[starts]
-        return vectors[some] / norm[some, None], at, (starts - first[at]) * half, held[some]
+        return vectors, at, (starts - first[at]) * half, held
 
     def find(self, lists: list[list[bytes]]):
         """(document, item, cosine, share of the item, share of the answer, first word) of every match."""
@@ -278,7 +296,8 @@ class Search:
         best: dict[tuple[int, int], list] = {}
         for at in range(0, len(vectors), 4096):
             near = vectors[at:at + 4096] @ self.vectors.T
-            for w, q in zip(*np.nonzero(near >= self.s.min_cosine)):
+            hits = np.flatnonzero(near.ravel() >= self.s.min_cosine)
+            for w, q in zip(*np.divmod(hits, near.shape[1])):
                 key = (int(doc_of[at + w]), int(self.owner[q]))
                 best.setdefault(key, []).append((float(near[w, q]), int(first[at + w])))
         for (doc, item), seen in sorted(best.items()):
