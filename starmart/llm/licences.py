@@ -243,11 +243,13 @@ def fit(corpus: list[list[bytes]], seed: int = 42, l1: float = 0.01, steps: int
 
 def corpus_lines(docs: DataFrame, sample: int = 3000) -> list[list[bytes]]:
     """At most ``sample`` lines of 20 to 4000 characters, one per document, of the documents with the smallest hashes."""
-    picked = (docs.where("text is not null and doc_id is not null").orderBy(F.xxhash64("doc_id", "text")).limit(sample)
-              .select(F.filter(F.split("text", "\n"), lambda x: F.length(x).between(20, 4000)).alias("lines"), "doc_id")
-              .where(F.size("lines") > 0)
+    known = docs.where("text is not null and doc_id is not null").select("doc_id", "text")
+    # ids first: texts of the sample only are moved
+    ids = known.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
+    long = F.filter(F.split("text", "\n"), lambda x: F.length(x).between(20, 4000))
+    picked = (known.join(F.broadcast(ids), "doc_id").select("doc_id", long.alias("lines")).where(F.size("lines") > 0)
               .select(F.element_at("lines", (F.pmod(F.xxhash64("doc_id"), F.size("lines")) + 1).cast("int")).alias("line"),
-                      "doc_id").orderBy("doc_id", "line").collect())
+                      "doc_id").orderBy("doc_id", "line").limit(sample).collect())
     return [words_of(r["line"].encode()) for r in picked]
 
 
