@@ -250,22 +250,16 @@ class Search:
         self.s, self.items = s, items
         self.index = {w: i for i, w in enumerate(kept)}
         self.basis = (basis * idf[:, None]).astype(np.float32)
-        self.need = 1
-        self.vectors, self.owner, _, held = self._windows([i.words for i in items])
-        # windows of a document with a single weighted word are skipped if every item has a window with two
-        fullest = np.zeros(len(items), int)
-        np.maximum.at(fullest, self.owner, held)
-        self.need = int(min(2, fullest.min(initial=2)))
+        self.vectors, self.owner, _ = self._windows([i.words for i in items])
         self.masks = [(i.masks(), Item(0, i.answer, []).masks()) for i in items]
 
     def _windows(self, lists):
-        """Unit vectors of all windows (two neighbouring half windows), their document, first word
-        and number of weighted words."""
+        """Unit vectors of all windows (two neighbouring half windows), their document and first word."""
         half = self.s.window // 2
         chunk, term, first, n = _sparse(lists, self.index, half)
         empty = np.zeros((0, self.basis.shape[1]), np.float32)
         if not len(chunk):
-            return empty, np.zeros(0, int), np.zeros(0, int), np.zeros(0, int)
+            return empty, np.zeros(0, int), np.zeros(0, int)
         full = np.flatnonzero(np.diff(chunk, prepend=-1))
         padded = _chunk_sums(term, full, self.basis)
         where = np.full(n + 1, -1)
@@ -276,23 +270,19 @@ class Search:
         one = where[starts]
         two = np.where((starts + 1 < n) & (doc_of[np.minimum(starts + 1, n - 1)] == doc_of[starts]),
                        where[starts + 1], -1)
-        words = np.append(np.diff(np.append(full, len(chunk))), 0)
-        held = words[one] + words[two]
-        some = held >= self.need
-        one, two, starts, held = one[some], two[some], starts[some], held[some]
         vectors = padded[one]
         vectors += padded[two]
         norm = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
         some = norm > 1e-9
         if not some.all():
-            vectors, norm, starts, held = vectors[some], norm[some], starts[some], held[some]
+            vectors, norm, starts = vectors[some], norm[some], starts[some]
         vectors /= norm[:, None]
         at = doc_of[starts]
-        return vectors, at, (starts - first[at]) * half, held
+        return vectors, at, (starts - first[at]) * half
 
     def find(self, lists: list[list[bytes]]):
         """(document, item, cosine, share of the item, share of the answer, first word) of every match."""
-        vectors, doc_of, first, _ = self._windows(lists)
+        vectors, doc_of, first = self._windows(lists)
         best: dict[tuple[int, int], list] = {}
         for at in range(0, len(vectors), 4096):
             near = vectors[at:at + 4096] @ self.vectors.T

@@ -129,3 +129,23 @@ def test_latent_basis():
     basis = latent_basis(a.T @ (a @ test), s)
     right = np.linalg.svd(a, full_matrices=False)[2][:8].T
     assert basis.shape == (60, 8) and np.linalg.norm(right - basis @ (basis.T @ right)) < 1e-2
+
+
+def filler(rng, n):
+    return [f"f{rng.randint(0, 5000)}" for _ in range(n)]
+
+
+def test_weighted_words_in_different_windows(spark):
+    """A copy whose two weighted words stand in no common window, at every offset; frequent words carry no weight."""
+    rng = random.Random(13)
+    common = [f"c{i}" for i in range(40)]
+    items = [(1, " ".join(["rareone", *common[:24], "raretwo", *common[24:30]])),
+             (2, " ".join(["rarethree", "rarefour", *common[:20]]))]
+    rows = [(d, " ".join(common + filler(rng, 60))) for d in range(500)]
+    want = set()
+    for at in range(16):
+        rows.append((1000 + at, " ".join([*filler(rng, at), items[0][1], *filler(rng, 50)])))
+        want.add((1000 + at, 1))
+    docs = spark.createDataFrame([(d, t, None) for d, t in rows], DOCS)
+    got = {(r.doc_id, r.item_id) for r in matches(docs, spark.createDataFrame([(i, t, 0) for i, t in items], BENCH)).collect()}
+    assert want <= got
