@@ -8,7 +8,9 @@
    A'(A W); the shares are summed by Spark.  The Nystrom formula turns the sum into
    the leading right singular vectors, in one pass.
 3. Search: overlapping windows of every document and of every item are projected
-   and compared by cosine; all pairs from ``min_cosine`` on are candidates.
+   and compared by cosine; all pairs from ``min_cosine`` on are candidates.  So is every
+   window near which enough of an item's rarest words stand: an item with ``paraphrase_lcs`` of
+   its words in a stretch lacks the others at most, so no match is left out for its cosine.
 4. Check: the longest common subsequence of the item with the document around
    the window.  A match needs ``min_lcs`` of the item's words, or ``paraphrase_lcs``
    of them together with ``min_answer`` of the answer's (column ``answer``
@@ -40,6 +42,8 @@ from .common import utf8
 BLOCK_CHARS = 1 << 19
 #: words of documents that are worked on together
 TOGETHER = 1 << 17
+#: filed words of documents that are looked at together, each counted for every item
+ENTRIES = 1 << 20
 #: terms of one shuffled piece of the sketch
 PIECE = 64
 _PLAIN = bytes(32 if c < 48 or 58 <= c <= 64 or 91 <= c <= 96 or 123 <= c <= 127
@@ -246,13 +250,77 @@ def latent_basis(sketch: np.ndarray, s: Settings) -> np.ndarray:
 class Search:
     """The projected items of one block, and the check of documents against them."""
 
-    def __init__(self, items: list[Item], kept: list[bytes], idf: np.ndarray, basis: np.ndarray, s: Settings):
+    def __init__(self, items: list[Item], kept: list[bytes], idf: np.ndarray, basis: np.ndarray, s: Settings,
+                 rates: dict[bytes, float]):
         self.s, self.items = s, items
+        self._file(rates)
         self.index = {w: i for i, w in enumerate(kept)}
         self.basis = (basis * idf[:, None]).astype(np.float32)
         self.vectors, self.owner, _ = self._windows([i.words for i in items])
         self.masks = [(i.masks(), Item(0, i.answer, []).masks()) for i in items]
 
+    def _file(self, rates):
+        """Items under their rarest words: of ``size - least + t`` words of an item, a match holds t in t places."""
+        self.sizes = np.array([len(i.words) for i in self.items])
+        self.reach = self.s.window + 2 * self.sizes  # words that a check looks at
+        self.enough = np.ones(len(self.items), np.int64)
+        filed: dict[bytes, list[int]] = {}
+        for i, item in enumerate(self.items):
+            n = len(item.words)
+            spare = n - next(x for x in range(1, n + 1) if x / n >= self.s.paraphrase_lcs)
+            words = sorted(item.words, key=lambda w: (rates[w], w))
+            best = None
+            for t in range(1, n - spare + 1):  # any t is right; the cheapest by a Poisson estimate is taken
+                rate = sum(rates[w] for w in set(words[:spare + t]))
+                mean = rate * int(self.reach[i])
+                term, below = np.exp(-mean), 0.0
+                for x in range(t - 1):
+                    below, term = below + term, term * mean / (x + 1)
+                cost = rate * (1 + 2000 * max(0.0, 1 - below))
+                if best is None or cost < best[0]:
+                    best = cost, t
+            self.enough[i] = best[1]
+            for w in set(words[:spare + best[1]]):
+                filed.setdefault(w, []).append(i)
+        self.filed = {w: k for k, w in enumerate(filed)}
+        self.bounds = np.concatenate([[0], np.cumsum([len(x) for x in filed.values()])]).astype(np.int64)
+        self.under = np.array([i for x in filed.values() for i in x], np.int64)
+
+    def _holding(self, lists):
+        """{(document, item): first words} of all windows around which enough of the item's filed words stand."""
+        place, term, first, n = _sparse(lists, self.filed, 1)
+        out: dict[tuple[int, int], set[int]] = {}
+        doc_of = np.repeat(np.arange(len(lists)), np.diff(first))
+        count = self.bounds[term + 1] - self.bounds[term]
+        done = np.cumsum(count)
+        start = 0
+        while start < len(place):  # whole documents of about ENTRIES entries together
+            stop = int(np.searchsorted(done, (done[start - 1] if start else 0) + ENTRIES, "right"))
+            stop = max(start + 1, stop)
+            if stop < len(place):
+                whole = int(np.searchsorted(place, first[doc_of[place[stop]]]))
+                stop = whole if whole > start else int(np.searchsorted(place, first[doc_of[place[start]] + 1]))
+            part = slice(start, stop)
+            many = count[part]
+            at = np.arange(many.sum()) + np.repeat(self.bounds[term[part]] - (np.cumsum(many) - many), many)
+            item, where = self.under[at], np.repeat(place[part], many)
+            key = doc_of[where] * len(self.items) + item
+            order = np.argsort(key, kind="stable")
+            key, where, item = key[order], where[order], item[order]
+            last = np.arange(len(key)) + self.enough[item] - 1
+            ok = last < len(key)
+            last = np.minimum(last, len(key) - 1)
+            ok &= (key[last] == key) & (where[last] - where < self.reach[item])
+            hit = np.flatnonzero(ok)
+            doc, item = key[hit] // len(self.items), item[hit]
+            half, size = self.s.window // 2, self.sizes[item]
+            low = np.maximum((where[last[hit]] - first[doc] - self.s.window - size) // half + 1, 0)
+            high = np.minimum((where[hit] - first[doc] + size) // half, (first[doc + 1] - first[doc] - 1) // half)
+            for row in np.unique(np.stack([doc, item, low, high], 1), axis=0).tolist():
+                out.setdefault((row[0], row[1]), set()).update(range(row[2] * half, (row[3] + 1) * half, half))
+            start = stop
+        return out
+
     def _windows(self, lists):
         """Unit vectors of all windows (two neighbouring half windows), their document and first word."""
         half = self.s.window // 2
@@ -290,14 +358,19 @@ class Search:
             for w, q in zip(*np.divmod(hits, near.shape[1])):
                 key = (int(doc_of[at + w]), int(self.owner[q]))
                 best.setdefault(key, []).append((float(near[w, q]), int(first[at + w])))
-        for (doc, item), seen in sorted(best.items()):
-            found = None
-            for start in sorted({start for _, start in seen}):
+        held = self._holding(lists)
+        for doc, item in sorted(best.keys() | held.keys()):
+            found, seen = None, best.get((doc, item), [])
+            for start in sorted({start for _, start in seen} | held.get((doc, item), set())):
                 hit = self._check(lists[doc], self.items[item], self.masks[item], start)
                 if hit and (found is None or hit > found[:2]):
                     found = (*hit, start)
             if found:
-                yield doc, item, max(c for c, _ in seen), *found
+                cosine = max((c for c, _ in seen), default=None)
+                if cosine is None:
+                    rows = slice(*np.searchsorted(doc_of, [doc, doc + 1]))
+                    cosine = float((vectors[rows] @ self.vectors[self.owner == item].T).max(initial=0))
+                yield doc, item, cosine, *found
 
     def _check(self, words, item, masks, start):
         size = len(item.words)
@@ -350,7 +423,8 @@ def searches(docs: DataFrame, bench: DataFrame, s: Settings) -> Iterator[Search]
         at = np.flatnonzero(rare)
         kept = [vocabulary[i] for i in at]
         idf = np.log((1 + passages) / (1 + df[at])) + 1e-3
-        yield Search(items, kept, idf, latent_basis(_sketch(docs, kept, idf, s), s), s)
+        rates = dict(zip(vocabulary, (df / max(1, passages * s.window)).tolist()))
+        yield Search(items, kept, idf, latent_basis(_sketch(docs, kept, idf, s), s), s, rates)
 
 
 def matches(docs: DataFrame, bench: DataFrame, s: Settings = Settings()) -> DataFrame:

@@ -135,6 +135,23 @@ def filler(rng, n):
     return [f"f{rng.randint(0, 5000)}" for _ in range(n)]
 
 
+def test_short_items_among_other_vocabulary(spark):
+    """Verbatim short items between weighted words of other items."""
+    rng = random.Random(12)
+    vocabulary = [f"v{i}" for i in range(600)]
+    items = [(i, " ".join(rng.sample(vocabulary, rng.choice([7, 9, 12, 40])))) for i in range(60)]
+    rows, want = [(d, " ".join(filler(rng, 120) + rng.sample(vocabulary, 3))) for d in range(400)], set()
+    for i, text in items:
+        for k in range(3):
+            around = [w if rng.random() < 0.5 else rng.choice(vocabulary) for w in filler(rng, 80)]
+            at = rng.randint(0, len(around))
+            rows.append((1000 + 3 * i + k, " ".join([*around[:at], text, *around[at:]])))
+            want.add((1000 + 3 * i + k, i))
+    docs = spark.createDataFrame([(d, t, None) for d, t in rows], DOCS)
+    got = {(r.doc_id, r.item_id) for r in matches(docs, spark.createDataFrame([(i, t, 0) for i, t in items], BENCH)).collect()}
+    assert want <= got and got == brute(rows, items, Settings())
+
+
 def test_weighted_words_in_different_windows(spark):
     """A copy whose two weighted words stand in no common window, at every offset; frequent words carry no weight."""
     rng = random.Random(13)
