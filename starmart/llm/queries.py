@@ -11,10 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
 from .decontam import matches
+from .lexical import RANKED_SQL, ranked_documents
 from .licences import licence_scan
 from .lines import line_dedup_report, line_dedup_sql
 from .mixing import mixed_documents, mixing_sql
+from .packing import packed_documents
 from .passages import repeated_passages
+from .periodic import run_digests
 from .quality import quality_grades
 from .sharding import sharded
 from .simhash import simhash_components
@@ -64,6 +67,22 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                            read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packed_documents(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                            public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_substring_dedup": op2_substring_dedup,
@@ -75,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {
@@ -82,4 +104,5 @@ ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup_sql(),
     "op7_warc": WARC_SQL,
     "op9_exact_top_k": TOP_K_SQL,
+    "op11_ranked_search": RANKED_SQL,
 }
