@@ -273,7 +273,10 @@ def refreshed_mart(src) -> dict[str, DataFrame]:
 
 def daily_refresh_fact(src, mart) -> DataFrame:
     """The fact after load and refresh, by natural keys."""
-    m = refreshed_mart(src)
+    return fact_by_natural_keys(refreshed_mart(src))
+
+
+def fact_by_natural_keys(m: dict[str, DataFrame]) -> DataFrame:
     f = m["fact_encounters"].drop("encounter_key")
     for dim, key, name in (("dim_patient", "patient_key", "patient_id"), ("dim_provider", "provider_key", "provider_id"),
                            ("dim_department", "department_key", "department_id"),
@@ -284,7 +287,10 @@ def daily_refresh_fact(src, mart) -> DataFrame:
 
 def daily_refresh_bridges(src, mart) -> DataFrame:
     """The links of both bridges after load and refresh, by natural keys."""
-    m = refreshed_mart(src)
+    return bridges_by_natural_keys(refreshed_mart(src))
+
+
+def bridges_by_natural_keys(m: dict[str, DataFrame]) -> DataFrame:
     f = m["fact_encounters"].select("encounter_key", "encounter_id")
     d = (m["bridge_encounter_diagnoses"].join(f, "encounter_key").join(m["dim_diagnosis"], "diagnosis_key")
          .select(F.lit("diagnosis").alias("kind"), "encounter_id", F.col("diagnosis_id").alias("code_id"),

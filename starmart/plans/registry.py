@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import catalog
 from . import reports_source as RS
 from . import reports_star as RM
+from . import mart_load as ML
 from . import quality as K
 from . import refresh as R
 from ..streaming import feed as ST
@@ -81,6 +82,8 @@ def queries() -> dict[str, Query]:
                  "inferred_patients", "calendar_extend", "late_window_refresh", "unknown_member_fact",
                  "daily_refresh_fact", "daily_refresh_bridges"):
         q[name] = both(getattr(R, name))
+    for name in ("digest_changes", "digest_refresh_fact", "digest_refresh_bridges", "month_rewrite"):
+        q[name] = (lambda fn: lambda spark, sf_dir: fn(spark, sf_dir, catalog.sources(spark, sf_dir)))(getattr(ML, name))
     q["scalar_subquery_counts"] = _src(RS.scalar_subquery_counts)
     q["stream_fact_load"] = ST.stream_fact_load
     q["stream_monthly"] = ST.stream_monthly
