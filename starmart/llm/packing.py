@@ -52,15 +52,15 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
     def run(batches):
         from .tokens import encoder
 
-        to_ids, end = encoder(path), int(end_id).to_bytes(4, "little")
+        to_ids, end = encoder(path), np.array([end_id], "<u4")
         for batch in batches:
             rows, cuts = [], []
-            for row, text in enumerate(utf8(batch.column(1))):
-                ids = to_ids.encode(text or b"") + end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at:at + 4 * capacity]
+            for row, found in enumerate(to_ids.encode([t or b"" for t in utf8(batch.column(1))])):
+                ids = np.concatenate([found, end])
+                for piece, at in enumerate(range(0, len(ids), capacity)):
+                    part = ids[at:at + capacity]
                     rows.append(row)
-                    cuts.append((piece, at // 4, len(part) // 4, zlib.crc32(part)))
+                    cuts.append((piece, at, len(part), zlib.crc32(part.tobytes())))
             if rows:
                 piece, start, length, crc = zip(*cuts)
                 yield pa.RecordBatch.from_arrays(
@@ -173,7 +173,7 @@ def _epoch(level: int, epoch: int, capacity: int):
         for batch in batches:
             for row in batch.to_pylist():
                 sizes = np.array(row["sizes"], np.int64)
-                members = [np.array(m, np.int32) for m in row["members"]]
+                members = [renumbered(np.array(m, np.int64)) for m in row["members"]]
                 best = evolve([level, epoch, row["part"], row["island"]], sizes, members, capacity, OFFSPRING, POPULATION)
                 bins, lack = fitness(best[0], sizes, capacity)
                 row |= {"members": [m.tolist() for m in best[:2]], "bins": int(bins), "lack": lack,
@@ -215,13 +215,12 @@ def pack_level(items: DataFrame, parts: int, level: int, capacity: int, last: bo
     part = F.pmod(F.xxhash64("was", F.lit(level)), F.lit(parts)).alias("part")
     grouped = items.groupBy(part).agg(F.array_sort(F.collect_list(F.struct("was", "pid", "length"))).alias("all"))
     grouped = materialise(grouped, "parts")
-    # the grouping that the pieces came with: pieces of one earlier bin stand together
-    was = F.transform("all", lambda x: x["was"])
-    came = F.transform(was, lambda w: F.array_position(F.array_distinct(was), w).cast("int") - 1)
     state = grouped.select("part", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])).alias("island"),
                            F.transform("all", lambda x: x["pid"]).alias("pids"),
                            F.transform("all", lambda x: x["length"].cast("int")).alias("sizes"),
-                           (F.array(came) if level else F.array().cast("array<array<int>>")).alias("members"))
+                           # from the second level on, the grouping that the pieces came with is a member
+                           (F.array(F.transform("all", lambda x: x["was"])) if level
+                            else F.array().cast("array<array<bigint>>")).alias("members"))
     tasks = min(parts * ISLANDS, 8 * partitions(spark))
     held = state.repartition(tasks, "part", "island").mapInArrow(_epoch(level, 0, capacity), _STATE)
     held = materialise(held, "island")

@@ -1,10 +1,10 @@
 """Token ids of whole texts by a public tokenizer, with the work on repeated words done once.
 
-``Encoder.encode`` gives the ids that ``tokenizers`` gives for the text, as little-endian
-unsigned 32-bit bytes.  Where the tokenizer drops white space and splits by
+``Encoder.encode`` gives the ids that ``tokenizers`` gives for each text, as little-endian
+unsigned 32-bit numbers.  Where the tokenizer drops white space and splits by
 ``WORD_PATTERN``, the ids of a text are those of its words (stretches without ASCII white space)
-one after the other, and the ids of a plain word those of its pieces; words and pieces seen before are
-looked up.  Words beyond plain Latin letters, digits and ASCII signs, and those that
+one after the other, and the ids of a plain word those of its pieces; some megabytes of text are worked on
+together, each distinct word once, and words and pieces seen before are looked up.  Words beyond plain Latin letters, digits and ASCII signs, and those that
 may hold a special token, go through the tokenizer whole.  Any other tokenizer encodes
 whole texts.
 """
@@ -14,9 +14,13 @@ from __future__ import annotations
 import functools
 import json
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # fixed values: the split of the tokenizers whose words can be told apart
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -25,8 +29,10 @@ _LETTERS = "a-zß-öø-ÿ"
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
 
+#: bytes of text whose words are looked up together, about
+TOGETHER = 1 << 23
 #: words (and pieces) remembered: the newest generation and the one before
-REMEMBERED = 250_000
+REMEMBERED = 300_000
 
 
 def parts_of(text: bytes, most: int = 1 << 20) -> Iterator[bytes]:
@@ -39,6 +45,31 @@ def parts_of(text: bytes, most: int = 1 << 20) -> Iterator[bytes]:
         at = end
 
 
+class Remembered(dict):
+    """What ``make`` gives for a key; of two generations of ``most`` keys each the older one is forgotten."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        made = self.old.get(key)
+        if made is None:
+            made = self.make(key)
+        self[key] = made
+        return made
+
+
+def packed(ids: list[int]) -> bytes:
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 class Encoder:
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
@@ -46,46 +77,63 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         spec = json.loads(self.tokenizer.to_str())
         split = json.dumps(spec.get("pre_tokenizer"))
+        normal = (spec.get("normalizer") or {}).get("normalizers", [])
         self.by_word = (json.dumps(WORD_PATTERN)[1:-1] in split and '"Removed", "invert": true' in split
-                        and [n["type"] for n in spec["normalizer"].get("normalizers", [])] == ["NFC", "Replace", "Lowercase"])
-        self.remembered = remembered
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+                        and [n["type"] for n in normal] == ["NFC", "Replace", "Lowercase"])
+        self.words = Remembered(self._word, remembered)
+        self.pieces = Remembered(self._piece, remembered)
         # how the tokenizer writes the bytes of accented letters
         self.letters = ({ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0]
                          for c in map(chr, range(0xDF, 0x100)) if c != "÷"} if self.by_word else {})
 
-    def encode(self, text: bytes) -> bytes:
+    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
         if not self.by_word:
-            return self._whole(text.decode("utf-8", "replace"))
-        return b"".join(self._words(part.split()) for part in parts_of(text))
-
-    def _words(self, words: list[bytes]) -> bytes:
-        missing = set(words).difference(self.young)
-        if missing:
-            if len(self.young) + len(missing) > self.remembered:
-                self.old, self.young, missing = self.young, {}, set(words)
-            for w in missing:
-                self.young[w] = self.old.get(w) or self._word(w.decode("utf-8", "replace"))
-        return b"".join(map(self.young.__getitem__, words))
-
-    def _word(self, word: str) -> bytes:
-        if "<|" in word or not _PLAIN.fullmatch(word):
-            return self._whole(word)
-        return b"".join(map(self._piece, _PIECES.findall(word.lower())))
+            yield from (np.frombuffer(self._whole(t.decode("utf-8", "replace")), "<u4") for t in texts)
+            return
+        held: list[str] = []
+        ends, size = [], 0  # held parts that end a text
+        rest: list[np.ndarray] = []  # ids of the text that goes on
+        for text in texts:
+            for part in parts_of(text):
+                if size + len(part) > TOGETHER and held:
+                    *done, last = self._together(held, ends)
+                    yield from (np.concatenate([*rest, d]) if i == 0 and rest else d for i, d in enumerate(done))
+                    rest = [*rest, last] if not done else [last]
+                    held, ends, size = [], [], 0
+                held.append(part.decode("utf-8", "replace"))
+                size += len(part)
+            ends.append(len(held))
+        *done, _ = self._together(held, ends)
+        yield from (np.concatenate([*rest, d]) if i == 0 and rest else d for i, d in enumerate(done))
+
+    def _together(self, parts: list[str], ends: list[int]) -> list[np.ndarray]:
+        """The ids of texts that end behind some parts, and those of what follows the last one."""
+        split = pc.ascii_split_whitespace(pa.array(parts, pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        known = list(map(self.words.__getitem__, coded.dictionary.to_pylist()))
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(known), "<u4")
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        counts = sizes[codes]
+        begin = np.concatenate([[0], np.cumsum(counts)])
+        ids = flat[np.repeat(first[codes] - begin[:-1], counts) + np.arange(begin[-1])]
+        words = split.offsets.to_numpy() - split.offsets[0].as_py()
+        cuts = begin[words[[0, *ends, len(parts)]]]
+        return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+    def _word(self, text: str) -> bytes:
+        if "<|" in text or not _PLAIN.fullmatch(text):
+            return self._whole(text)
+        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= self.remembered:
-                self.pieces.clear()
-            found = self.tokenizer.model.tokenize(piece.translate(self.letters))
-            ids = self.pieces[piece] = np.array([t.id for t in found], "<u4").tobytes()
-        return ids
+        if not piece.isascii():
+            piece = piece.translate(self.letters)
+        return packed([t.id for t in self.tokenizer.model.tokenize(piece)])
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
 @functools.lru_cache(maxsize=2)
