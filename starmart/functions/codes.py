@@ -2,8 +2,9 @@
 
 Diagnosis: the ICD-10-CM chapter of the three-character category (letter,
 digit, digit or letter).  Procedure: the CPT section of the five-digit code.  Codes that do
-not follow the pattern get 'Unclassified'.  Both are pure expressions (a
-CASE ladder), so no lookup table or join is needed.
+not follow the pattern get 'Unclassified'.  ``icd_category`` and ``cpt_category`` are
+expressions over the ranges below; ``code_ranges`` gives them as a table for ``operators.ranges``, where
+a site's own table can take their place.
 """
 
 from __future__ import annotations
@@ -64,3 +65,23 @@ def cpt_category(code: Column) -> Column:
     for lo, hi, name in CPT_SECTIONS:
         ladder = ladder.when(num.between(lo, hi), F.lit(name))
     return ladder.otherwise(F.lit(UNCLASSIFIED))
+
+
+# ---- the same ranges as a table, for the range lookup ----
+def icd_position(code: Column) -> Column:
+    """Place of the three-character category in the order of codes; null for codes off the pattern."""
+    cat = F.upper(F.substring(code, 1, 3))
+    return F.when(cat.rlike("^[A-Z][0-9][0-9A-Z]$"), F.conv(cat, 36, 10).cast("bigint"))
+
+
+def cpt_position(code: Column) -> Column:
+    return F.when(code.rlike("^[0-9]{5}$"), code.cast("bigint"))
+
+
+def code_ranges(spark, system: str):
+    """(low, high, category) of ``icd10`` or ``cpt``."""
+    if system == "icd10":
+        rows = [(int(a, 36), int(b, 36), name) for a, b, name in ICD10_CHAPTERS]
+    else:
+        rows = [tuple(r) for r in CPT_SECTIONS]
+    return spark.createDataFrame(rows, "low bigint, high bigint, category string")

@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.store import materialize
 from .keys import assign_dense_key
 
 
@@ -128,3 +129,37 @@ def scd_type2(dim: DataFrame, batch: DataFrame, nk: str, key: str, tracked: list
              .withColumn("valid_to", F.lit(None).cast("date")))
     fresh = with_new_keys(fresh, [nk], key, max_key(dim, key))
     return reduce(DataFrame.unionByName, [history.select(*cols), kept, closed.select(*cols), fresh.select(*cols)])
+
+
+def version_chain(dim: DataFrame, changes: DataFrame, nk: str, key: str, tracked: list[str], at: str) -> DataFrame:
+    """T8 for batches with any number of versions of a member, in any order (``at``: since when one holds).
+
+    Stored and incoming versions of the members concerned are merged by day.  Of several of one day the newest
+    incoming counts (ties: the larger hash) and keeps the stored key; neighbours equal in ``tracked`` become one span with
+    the attributes of the last and the first stored key; a span ends where the next one begins.  Changes without a member or
+    a day are left out.  A window holds the days of one member: bounded by the calendar, as days are
+    reduced by an aggregate before it.
+    """
+    cols = dim.columns
+    attrs = [c for c in cols if c not in (nk, key, "current_flag", "valid_from", "valid_to")]
+    versions = changes.where(F.col(nk).isNotNull() & F.col(at).isNotNull())
+    newest = (versions.groupBy(nk, F.to_date(at).alias("_at"))
+              .agg(F.max_by(F.struct(*attrs), F.struct(F.col(at), F.xxhash64(*attrs))).alias("_new")))
+    members = newest.select(nk).distinct()
+    stored = dim.join(members, nk, "left_semi").select(
+        nk, F.coalesce("valid_from", F.to_date(F.lit("0001-01-01"))).alias("_at"), F.struct(*attrs).alias("_old"), F.col(key).alias("_key"))
+    merged = stored.join(newest, [nk, "_at"], "full_outer").select(nk, "_at", "_key", F.coalesce("_new", "_old").alias("_v"))
+    days = Window.partitionBy(nk).orderBy("_at")
+    content = F.struct(*[F.col(f"_v.{c}") for c in tracked])
+    starts = merged.withColumn("_content", content)
+    starts = starts.withColumn("_new_span", (F.row_number().over(days) == 1) | ~F.col("_content").eqNullSafe(F.lag("_content").over(days)))
+    spans = (starts.withColumn("_span", F.sum(F.col("_new_span").cast("int")).over(days))
+             .groupBy(nk, "_span").agg(F.min("_at").alias("_at"), F.max_by("_v", "_at").alias("_v"), F.min_by("_key", F.when(F.col("_key").isNotNull(), F.col("_at"))).alias("_key")))
+    ended = spans.withColumn("valid_to", F.lead("_at").over(Window.partitionBy(nk).orderBy("_at")))
+    rows = materialize(ended.select(
+        nk, *[F.col(f"_v.{c}").alias(c) for c in attrs], F.col("valid_to").isNull().alias("current_flag"),
+        F.when(F.col("_at") > F.to_date(F.lit("0001-01-01")), F.col("_at")).alias("valid_from"), "valid_to", "_key"), "spans")
+    fresh = with_new_keys(rows.where(F.col("_key").isNull()).drop("_key"), [nk, "valid_from"], key, max_key(dim, key))
+    known = rows.where(F.col("_key").isNotNull()).withColumnRenamed("_key", key)
+    untouched = dim.join(members, nk, "left_anti")
+    return reduce(DataFrame.unionByName, [x.select(*cols) for x in (untouched, known, fresh)])

@@ -40,16 +40,24 @@ def build_dim_date_for(encounters: DataFrame, weekend_days=(6, 7)) -> DataFrame:
     return date_attributes(calendar.calendar_for_encounters(encounters), weekend_days)
 
 
+def specialty_attributes(src: dict[str, DataFrame]) -> DataFrame:
+    return src["specialties"].select("specialty_id", "specialty_name").distinct()
+
+
 def build_dim_specialty(src: dict[str, DataFrame]) -> DataFrame:
     """B2: SELECT DISTINCT specialty_id, specialty_name + key."""
-    d = src["specialties"].select("specialty_id", "specialty_name").distinct()
+    d = specialty_attributes(src)
     return schemas.conform(assign_dense_key(d, ["specialty_id", "specialty_name"], "specialty_key"),
                            schemas.MART["dim_specialty"])
 
 
+def department_attributes(src: dict[str, DataFrame]) -> DataFrame:
+    return src["departments"].select("department_id", "department_name", "floor").distinct()
+
+
 def build_dim_department(src: dict[str, DataFrame]) -> DataFrame:
     """Distinct (id, name, floor) + key; capacity is dropped."""
-    d = src["departments"].select("department_id", "department_name", "floor").distinct()
+    d = department_attributes(src)
     return schemas.conform(assign_dense_key(d, ["department_id", "department_name", "floor"], "department_key"),
                            schemas.MART["dim_department"])
 
@@ -64,10 +72,14 @@ def encounter_class(type_name, mode: str = "general"):
              .otherwise("General"))
 
 
+def encounter_type_attributes(src: dict[str, DataFrame], class_mode: str = "general") -> DataFrame:
+    d = src["encounters"].select(F.col("encounter_type").alias("encounter_type_name")).distinct()
+    return d.withColumn("encounter_class", encounter_class(F.col("encounter_type_name"), class_mode))
+
+
 def build_dim_encounter_type(src: dict[str, DataFrame], class_mode: str = "general") -> DataFrame:
     """Distinct encounter type + class."""
-    d = src["encounters"].select(F.col("encounter_type").alias("encounter_type_name")).distinct()
-    d = d.withColumn("encounter_class", encounter_class(F.col("encounter_type_name"), class_mode))
+    d = encounter_type_attributes(src, class_mode)
     return schemas.conform(assign_dense_key(d, ["encounter_type_name"], "encounter_type_key"),
                            schemas.MART["dim_encounter_type"])
 
@@ -110,22 +122,30 @@ def build_dim_provider(src: dict[str, DataFrame], dim_specialty: DataFrame,
     return schemas.conform(assign_dense_key(d, ["provider_id"], "provider_key"), schemas.MART["dim_provider"])
 
 
-def build_dim_diagnosis(src: dict[str, DataFrame], with_category: bool = False) -> DataFrame:
-    """B6 (+B12): distinct id, code, description; category NULL as loaded, or derived."""
+def diagnosis_attributes(src: dict[str, DataFrame], with_category: bool = False) -> DataFrame:
     d = src["diagnoses"].select(F.col("diagnosis_id"), F.col("icd10_code").alias("icd_code"),
                                 F.col("icd10_description").alias("diagnosis_description")).distinct()
     cat = codes.icd_category(F.col("icd_code")) if with_category else F.lit(None).cast("string")
-    d = d.withColumn("category", cat)
+    return d.withColumn("category", cat)
+
+
+def build_dim_diagnosis(src: dict[str, DataFrame], with_category: bool = False) -> DataFrame:
+    """B6 (+B12): distinct id, code, description; category NULL as loaded, or derived."""
+    d = diagnosis_attributes(src, with_category)
     return schemas.conform(assign_dense_key(d, ["diagnosis_id", "icd_code", "diagnosis_description"],
                                             "diagnosis_key"), schemas.MART["dim_diagnosis"])
 
 
-def build_dim_procedure(src: dict[str, DataFrame], with_category: bool = False) -> DataFrame:
-    """B7 (+B12)."""
+def procedure_attributes(src: dict[str, DataFrame], with_category: bool = False) -> DataFrame:
     d = src["procedures"].select(F.col("procedure_id"), F.col("cpt_code"),
                                  F.col("cpt_description").alias("procedure_description")).distinct()
     cat = codes.cpt_category(F.col("cpt_code")) if with_category else F.lit(None).cast("string")
-    d = d.withColumn("category", cat)
+    return d.withColumn("category", cat)
+
+
+def build_dim_procedure(src: dict[str, DataFrame], with_category: bool = False) -> DataFrame:
+    """B7 (+B12)."""
+    d = procedure_attributes(src, with_category)
     return schemas.conform(assign_dense_key(d, ["procedure_id", "cpt_code", "procedure_description"],
                                             "procedure_key"), schemas.MART["dim_procedure"])
 

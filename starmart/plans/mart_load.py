@@ -5,7 +5,8 @@ refresh
 
 1. digests every encounter of the extract (its row, claims and links) and compares with the digests
    stored with the fact: new, modified and removed encounters of any age are found without a list or a window;
-2. upserts the dimensions, adds placeholders and calendar days; a dimension that comes out as it was keeps its files;
+2. upserts the dimensions whose extract differs from the one loaded last (by digest), adds placeholders and calendar
+   days; the other dimensions keep their files;
 3. recomputes the changed encounters alone, and rewrites the months they leave or enter, fact and
    bridges alike; all other months keep their files;
 4. commits all tables and the new mark as one snapshot.
@@ -35,8 +36,9 @@ from . import refresh as R
 CHILDREN = ("encounter_diagnoses", "encounter_procedures", "billing")
 DIMS = tuple(t for t in schemas.MART if t.startswith("dim_"))
 FACT, DIAGNOSES, PROCEDURES = "fact_encounters", "bridge_encounter_diagnoses", "bridge_encounter_procedures"
-#: the digest of an encounter is stored with its row
-STORED_FACT = T.StructType([*schemas.MART[FACT].fields, T.StructField("digest", T.LongType())])
+#: the digest of an encounter is stored with its row, and from when its content is
+STORED_FACT = T.StructType([*schemas.MART[FACT].fields, T.StructField("digest", T.LongType()),
+                            T.StructField("version", T.TimestampNTZType())])
 
 
 def month_of(date_key: str):
@@ -49,6 +51,22 @@ def encounter_digests(src: dict[str, DataFrame]) -> DataFrame:
     return G.content_digests(src["encounters"], "encounter_id", {t: src[t] for t in CHILDREN})
 
 
+def dated(digests: DataFrame, day: _dt.date) -> DataFrame:
+    """Digests of an extract hold as of the start of its day."""
+    return digests.withColumn("version", F.lit(day.isoformat()).cast("timestamp_ntz"))
+
+
+def attributes(dim: str, src: dict[str, DataFrame], dims: dict[str, DataFrame], run_date: _dt.date) -> DataFrame:
+    """The rows of an extract for a dimension, without a key."""
+    if dim == "dim_patient":
+        return D.patient_attributes(src["patients"], run_date)
+    if dim == "dim_provider":
+        return D.provider_attributes(src["providers"], dims["dim_specialty"], dims["dim_department"])
+    return {"dim_specialty": D.specialty_attributes, "dim_department": D.department_attributes,
+            "dim_encounter_type": D.encounter_type_attributes, "dim_diagnosis": D.diagnosis_attributes,
+            "dim_procedure": D.procedure_attributes}[dim](src)
+
+
 class MartLoad:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
@@ -70,12 +88,12 @@ class MartLoad:
         base = self.log.current()
         m = FB.build_all(src, run_date)
         files = {t: self.log.write(m[t], t) for t in DIMS}
-        fact = m[FACT].join(encounter_digests(src), "encounter_id")
+        fact = m[FACT].join(dated(encounter_digests(src), run_date), "encounter_id")
         files[FACT] = self._write_fact(fact)
         months = m[FACT].select("encounter_key", month_of("admission_date_key").alias("_month"))
         for bridge in (DIAGNOSES, PROCEDURES):
             files[bridge] = self._write_bridge(m[bridge].join(months, "encounter_key", "left"), bridge)
-        notes = {f"digest:{t}": G.table_digest(self.log.table(Snapshot(0, files), t, schemas.MART[t])) for t in DIMS}
+        notes = {f"extract:{t}": G.table_digest(attributes(t, src, m, run_date)) for t in R.UPSERTS}
         notes |= {"encounter_key": str(U.max_key(m[FACT], "encounter_key")), "mark": run_date.isoformat(),
                   **{b: str(U.max_key(m[b], "bridge_id")) for b in (DIAGNOSES, PROCEDURES)}}
         return self.log.commit(base, files, notes)
@@ -101,12 +119,12 @@ class MartLoad:
         if run_date.isoformat() < base.notes["mark"]:
             raise ValueError(f"the mart is loaded up to {base.notes['mark']}, the extract is of {run_date}")
         src = normalize_sources(src)
-        digests = materialize(encounter_digests(src), "digests")
+        digests = materialize(dated(encounter_digests(src), run_date), "digests")
         stored = self.stored(base, FACT).select("encounter_id", "digest")
         changed = materialize(G.changes(digests, stored, "encounter_id"), "changes")
         touched = src["encounters"].join(changed, "encounter_id", "left_semi")
         dims, files, notes = self.dimensions(base, src, run_date, touched)
-        facts, more = self.rewritten(base, src, dims, digests, changed)
+        facts, more = ({}, {}) if changed.isEmpty() else self.rewritten(base, src, dims, digests, changed)
         return self.log.commit(base, files | facts, notes | more | {"mark": run_date.isoformat()})
 
     def dimensions(self, base: Snapshot, src: dict[str, DataFrame], run_date: _dt.date, touched: DataFrame,
@@ -115,25 +133,25 @@ class MartLoad:
         dims, files, notes = {t: self.stored(base, t) for t in DIMS}, {}, {}
 
         def put(name: str, rows: DataFrame) -> None:
-            path = self.log.write(rows, name)
-            made = self.log.table(Snapshot(0, {name: path}), name, schemas.MART[name])
-            found = G.table_digest(made)
-            if found != {**base.notes, **notes}.get(f"digest:{name}"):
-                dims[name], files[name], notes[f"digest:{name}"] = made, path, found
-
-        builders = {"dim_specialty": D.build_dim_specialty, "dim_department": D.build_dim_department,
-                    "dim_encounter_type": D.build_dim_encounter_type, "dim_diagnosis": D.build_dim_diagnosis,
-                    "dim_procedure": D.build_dim_procedure,
-                    "dim_provider": lambda s: D.build_dim_provider(s, dims["dim_specialty"], dims["dim_department"])}
+            files[name] = self.log.write(schemas.conform(rows, schemas.MART[name]), name)
+            dims[name] = self.log.table(Snapshot(0, files), name, schemas.MART[name])
+
         for name in upserted:
-            natural, key = R.UPSERTS[name]
-            batch = D.patient_attributes(src["patients"], run_date) if name == "dim_patient" else builders[name](src).drop(key)
-            put(name, schemas.conform(U.upsert_type1(dims[name], batch, natural, key), schemas.MART[name]))
-        put("dim_patient", schemas.conform(U.placeholders(dims["dim_patient"], touched, "patient_id", "patient_key",
-                                                          {"current_flag": F.lit(True)}), schemas.MART["dim_patient"]))
+            batch = attributes(name, src, dims, run_date)
+            seen = G.table_digest(batch)
+            if seen != base.notes.get(f"extract:{name}"):  # else it was loaded before
+                notes[f"extract:{name}"] = seen
+                put(name, U.upsert_type1(dims[name], batch, *R.UPSERTS[name]))
+        known = dims["dim_patient"].select("patient_id")
+        inferred = touched.select("patient_id").where("patient_id IS NOT NULL").join(known, "patient_id", "left_anti")
+        if not inferred.isEmpty():
+            put("dim_patient", U.placeholders(dims["dim_patient"], inferred, "patient_id", "patient_key", {"current_flag": F.lit(True)}))
         days = touched.select(F.to_date("encounter_date").alias("full_date")).unionByName(
             touched.select(F.to_date("discharge_date").alias("full_date")))
-        put("dim_date", schemas.conform(R.extend_calendar(dims["dim_date"], days), schemas.MART["dim_date"]))
+        span = lambda df: df.agg(F.min("full_date"), F.max("full_date")).first()
+        need, have = span(days), span(dims["dim_date"])
+        if need[0] is not None and (have[0] is None or need[0] < have[0] or need[1] > have[1]):
+            put("dim_date", R.extend_calendar(dims["dim_date"], days))
         return dims, files, notes
 
     def rewritten(self, base: Snapshot, src: dict[str, DataFrame], dims: dict[str, DataFrame], digests: DataFrame,

@@ -219,9 +219,12 @@ def _bridge(old: DataFrame, fact: DataFrame, ids: DataFrame, rows: DataFrame, or
 
 
 def daily_refresh(mart: dict[str, DataFrame], src: dict[str, DataFrame], run_date: _dt.date, mark: _dt.date,
-                  window_days: int = LATE_WINDOW_DAYS, changed: DataFrame | None = None) -> dict[str, DataFrame]:
+                      window_days: int = LATE_WINDOW_DAYS, changed: DataFrame | None = None,
+                  patient_changes: DataFrame | None = None) -> dict[str, DataFrame]:
     """The mart after one day's load; ``mark``: up to where facts were loaded (kept by the caller
     with the version it switches to), ``changed``: encounters that the extract marks as modified.
+    ``patient_changes`` (patient attributes and ``changed_on``) keeps the history of patients (Type 2) in place of their
+    upsert; the encounters of these patients are recomputed, as their versions may have moved.
 
     Facts and bridges are rewritten for the same encounters, so they never drift apart.
     """
@@ -230,6 +233,9 @@ def daily_refresh(mart: dict[str, DataFrame], src: dict[str, DataFrame], run_dat
                "dim_encounter_type": D.build_dim_encounter_type(src), "dim_diagnosis": D.build_dim_diagnosis(src),
                "dim_procedure": D.build_dim_procedure(src), "dim_patient": D.patient_attributes(src["patients"], run_date)}
     for dim, (nk, key) in UPSERTS.items():
+        if dim == "dim_patient" and patient_changes is not None:
+            m[dim] = materialize(U.version_chain(with_history(m[dim]), patient_changes, nk, key, TRACKED_PATIENT, "changed_on"), f"r_{dim}")
+            continue
         if dim == "dim_provider":
             batches[dim] = D.build_dim_provider(src, m["dim_specialty"], m["dim_department"])
         m[dim] = materialize(U.upsert_type1(m[dim], batches[dim].drop(key), nk, key), f"r_{dim}")
@@ -238,6 +244,9 @@ def daily_refresh(mart: dict[str, DataFrame], src: dict[str, DataFrame], run_dat
                           .join(m["fact_encounters"].select("encounter_id"), "encounter_id", "left_anti"))
     if changed is not None:
         ids = ids.unionByName(changed.select("encounter_id"))
+    if patient_changes is not None:
+        ids = ids.unionByName(src["encounters"].join(patient_changes.select("patient_id").distinct(), "patient_id", "left_semi")
+                              .select("encounter_id"))
     ids = materialize(ids.distinct(), "r_ids")
     touched = src["encounters"].join(ids, "encounter_id", "left_semi")
     m["dim_patient"] = materialize(U.placeholders(m["dim_patient"], touched, "patient_id", "patient_key",
@@ -259,6 +268,44 @@ def daily_refresh(mart: dict[str, DataFrame], src: dict[str, DataFrame], run_dat
     return m
 
 
+def with_history(dim: DataFrame) -> DataFrame:
+    """A dimension without history as the first version of every member."""
+    if "valid_from" in dim.columns:
+        return dim
+    return dim.withColumn("valid_from", F.lit(None).cast("date")).withColumn("valid_to", F.lit(None).cast("date"))
+
+
+def patient_change_batch(src, state, mk: Marks) -> DataFrame:
+    """Changes of patients known at the cutoff, by rules on the id: three within a week, two of them equal (3); one that
+    arrives late, from before the cutoff (5); one on the day of the stored version (7); and patients not known yet."""
+    i, day = F.col("patient_id"), F.lit(mk.cutoff)
+    known = D.patient_attributes(known_patients(src, state), mk.cutoff)
+    on = lambda df, days: df.withColumn("changed_on", F.date_add(day, days))
+    with_gender = lambda g: known.withColumn("gender", F.lit(g))
+    third, fifth, seventh = i % 3 == 0, i % 5 == 0, i % 7 == 0
+    new = D.patient_attributes(src["patients"].join(known.select("patient_id"), "patient_id", "left_anti"), mk.cutoff)
+    return reduce(DataFrame.unionByName, [
+        on(with_gender("X").where(third), 1), on(with_gender("X").where(third), 2), on(known.where(third), 5),
+        on(known.withColumn("full_name", F.concat("full_name", F.lit(" Jr"))).where(fifth), -30),
+        on(with_gender("Y").where(seventh), 0), on(new, 3)])
+
+
+def history_patient(src, mart) -> DataFrame:
+    """T8 with several versions of a member in a batch: the dimension with all spans."""
+    mk = marks(src)
+    state, _ = split_encounters(src, mk.cutoff)
+    dim0 = initial_dim_patient(src, state, mk).withColumn("valid_from", F.lit(mk.cutoff)).withColumn("valid_to", F.lit(None).cast("date"))
+    return U.version_chain(dim0, patient_change_batch(src, state, mk), "patient_id", "patient_key", TRACKED_PATIENT, "changed_on")
+
+
+def history_fact(src, mart) -> DataFrame:
+    """T8 in the load: encounters with the patient's name and gender as of the admission day."""
+    dim = materialize(history_patient(src, mart), "r_history")
+    fact = FB.fact_rows(src, dict(mart, dim_patient=dim))
+    return fact.join(dim.select("patient_key", "patient_id", "full_name", "gender"), "patient_key").select(
+        "encounter_id", "patient_id", "full_name", "gender")
+
+
 def refreshed_mart(src) -> dict[str, DataFrame]:
     """The load as of the cutoff (with the claims that had arrived by then), then one refresh to the end."""
     mk = marks(src)

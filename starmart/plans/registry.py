@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from . import catalog
 from . import reports_source as RS
 from . import reports_star as RM
+from . import bitmaps as BM
 from . import mart_load as ML
 from . import quality as K
+from . import reconcile as RC
 from . import refresh as R
 from ..streaming import feed as ST
+from ..streaming import mart_feed as SF
+from ..streaming import monthly as SM
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +68,10 @@ def queries() -> dict[str, Query]:
         "diagnosis_category_report": _mart(RM.diagnosis_category_report),
         "procedure_category_report": _mart(RM.procedure_category_report),
         "primary_diagnosis_counts": _mart(RM.primary_diagnosis_counts),
+        "q2_star_pruned": _mart(RM.q2_star_pruned),
+        "diagnosis_category_ranges": _mart(RM.diagnosis_category_ranges),
+        "procedure_category_ranges": _mart(RM.procedure_category_ranges),
+        "distinct_rollup": _mart(BM.distinct_rollup),
     }
     both = lambda fn: (lambda spark, sf_dir: fn(catalog.sources(spark, sf_dir),
                                                  catalog.mart(spark, sf_dir)))
@@ -74,16 +82,21 @@ def queries() -> dict[str, Query]:
         "dq_calendar_coverage": _mart(K.calendar_coverage),
         "dq_fact_grain": _mart(K.fact_grain),
         "dq_reconciliation": both(K.reconciliation),
+        "dq_reconcile_encounters": both(RC.dq_reconcile_encounters),
         "dq_dropped_encounters": both(K.dropped_encounters),
         "dq_encounter_type_domain": _src(K.encounter_type_domain),
         "dq_string_lengths": both(lambda s, m: K.string_lengths(K.all_tables(s, m))),
     })
     for name in ("incremental_facts", "scd1_upsert_patient", "insert_ignore_patient", "scd2_patient",
                  "inferred_patients", "calendar_extend", "late_window_refresh", "unknown_member_fact",
-                 "daily_refresh_fact", "daily_refresh_bridges"):
+                 "daily_refresh_fact", "daily_refresh_bridges", "history_patient", "history_fact"):
         q[name] = both(getattr(R, name))
+    loaded = lambda fn: (lambda spark, sf_dir: fn(spark, sf_dir, catalog.sources(spark, sf_dir)))
     for name in ("digest_changes", "digest_refresh_fact", "digest_refresh_bridges", "month_rewrite"):
-        q[name] = (lambda fn: lambda spark, sf_dir: fn(spark, sf_dir, catalog.sources(spark, sf_dir)))(getattr(ML, name))
+        q[name] = loaded(getattr(ML, name))
+    for name in ("stream_mart_fact", "stream_mart_bridges", "stream_late_events"):
+        q[name] = loaded(getattr(SF, name))
+    q["stream_monthly_delta"] = SM.stream_monthly_delta
     q["scalar_subquery_counts"] = _src(RS.scalar_subquery_counts)
     q["stream_fact_load"] = ST.stream_fact_load
     q["stream_monthly"] = ST.stream_monthly

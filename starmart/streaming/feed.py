@@ -40,7 +40,11 @@ def encounter_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int |
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
     # a glob names the table whether it is one file or a directory of files
-    raw = r.parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
+    return encounter_rows(r.parquet(f"{sf_dir.rstrip('/')}/events.parque[t]"))
+
+
+def encounter_rows(raw: DataFrame) -> DataFrame:
+    """Events as encounter rows."""
     t = F.col("ts")
     return (raw.select(F.col("event_id").alias("encounter_id"), F.col("user_id").alias("patient_id"),
                        F.col("event_type").alias("encounter_type"),
@@ -48,7 +52,7 @@ def encounter_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int |
                        F.col("value").cast("decimal(12,2)").alias("amount")))
 
 
-def _fact_rows(batch: DataFrame) -> DataFrame:
+def fact_rows(batch: DataFrame) -> DataFrame:
     t = F.col("event_ts").cast("timestamp_ntz")
     return batch.select("encounter_id", "patient_id", "encounter_type", t.alias("encounter_time"), "amount",
                         dates.date_key(t).alias("admission_date_key"),
@@ -68,7 +72,7 @@ class StreamTables:
         write_table(rows.drop("batch"), f"{self.root}/log/batch={batch}")
 
     def merge_batch(self, batch: DataFrame, batch_id: int) -> None:
-        rows = latest_per_key(_fact_rows(batch), "encounter_id", "encounter_time")
+        rows = latest_per_key(fact_rows(batch), "encounter_id", "encounter_time")
         self._log_of(rows, batch_id)
 
     def log(self) -> DataFrame:
