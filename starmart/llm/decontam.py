@@ -1,28 +1,29 @@
 """Benchmark decontamination by latent semantic retrieval (operator 6).
 
-1. Vocabulary: the words of the benchmark.  Their document frequencies are counted over
-   all passages of the corpus (disjoint windows of ``window`` words); words in more than
-   ``max_df`` of the passages carry no weight.
+1. Vocabulary: the words of the benchmark.  Every document is coded once, as the places and numbers of its
+   vocabulary words.  The document frequencies are counted over all passages of the corpus (disjoint windows
+   of ``window`` words); words in more than ``max_df`` of the passages carry no weight.  Items whose words are all
+   frequent form a search of their own, in which these words do.
 2. Randomised SVD of the TF-IDF matrix A (all passages x vocabulary): every task
    multiplies its rows by the same Gaussian test matrix W and returns its share of
    A'(A W); the shares are summed by Spark.  The Nystrom formula turns the sum into
    the leading right singular vectors, in one pass.
-3. Search: overlapping windows of every document and of every item are projected
-   and compared by cosine; all pairs from ``min_cosine`` on are candidates.  So is every
-   window near which enough of an item's rarest words stand: an item with ``paraphrase_lcs`` of
-   its words in a stretch lacks the others at most, so no match is left out for its cosine.
+3. Search: overlapping windows of every document, as wide as the items (16, 32 or 64 words), and the items
+   are projected and compared by cosine; all pairs from ``min_cosine`` on are candidates.
 4. Check: the longest common subsequence of the item with the document around
    the window.  A match needs ``min_lcs`` of the item's words, or ``paraphrase_lcs``
    of them together with ``min_answer`` of the answer's (column ``answer``
    where the benchmark has one, else the last quarter of the item).
 
+Items of under ``min_words`` words match a document with a line of exactly their words.
+
 The benchmark is the query set.  It is worked off in blocks of about ``BLOCK_CHARS``
 characters, so what is sent to the tasks has a fixed bound; documents are
 never gathered.  Words: punctuation is a gap, case is folded.
 
-Defined results: null and empty documents match nothing; null items and items of under
-``min_words`` words match nothing; repeated rows and ids are treated alike; equal
-items all match; an empty table gives an empty result; extra columns are ignored
+Defined results: null and empty documents match nothing; null items and items without words match nothing; repeated
+rows and ids are treated alike; equal items all match, and of windows that match equally well the first is
+reported; texts are processed whole; an empty table gives an empty result; extra columns are ignored
 (``matches``) or kept (``clean``).
 """
 
@@ -37,13 +38,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8
+from .common import materialise, partitions, utf8
 
 BLOCK_CHARS = 1 << 19
 #: words of documents that are worked on together
 TOGETHER = 1 << 17
-#: filed words of documents that are looked at together, each counted for every item
-ENTRIES = 1 << 20
+#: words of the smallest piece of a window
+UNIT = 8
 #: terms of one shuffled piece of the sketch
 PIECE = 64
 _PLAIN = bytes(32 if c < 48 or 58 <= c <= 64 or 91 <= c <= 96 or 123 <= c <= 127
@@ -64,7 +65,8 @@ class Settings:
     rank: int = 128
     oversample: int = 16
     max_df: float = 0.01
-    min_cosine: float = 0.55
+    widths: tuple[int, ...] = (16, 32, 64)
+    min_cosine: float = 0.45
     min_lcs: float = 0.8
     paraphrase_lcs: float = 0.6
     min_answer: float = 0.8
@@ -75,17 +77,21 @@ class Settings:
 @dataclass
 class Item:
     item_id: int
-    words: list[bytes]
-    answer: list[bytes]
+    words: list
+    answer: list
 
-    def masks(self) -> dict[bytes, int]:
-        out: dict[bytes, int] = {}
+    def masks(self) -> dict:
+        out: dict = {}
         for i, w in enumerate(self.words):
             out[w] = out.get(w, 0) | 1 << i
         return out
 
+    def coded(self, index: dict[bytes, int]) -> "Item":
+        """With numbers for words; a word of the answer that no item has gets one that no document has."""
+        return Item(self.item_id, [index[w] for w in self.words], [index.get(w, -1) for w in self.answer])
+
 
-def lcs(masks: dict[bytes, int], size: int, words: list[bytes]) -> int:
+def lcs(masks: dict, size: int, words: list) -> int:
     """Length of the longest common subsequence; one bit per word of the item."""
     full = (1 << size) - 1
     v = full
@@ -97,6 +103,35 @@ def lcs(masks: dict[bytes, int], size: int, words: list[bytes]) -> int:
     return size - v.bit_count()
 
 
+@dataclass
+class Coded:
+    """Documents by their vocabulary words: document k has the entries at[k] to at[k + 1] of pos and term."""
+
+    sizes: np.ndarray
+    at: np.ndarray
+    pos: np.ndarray
+    term: np.ndarray
+
+    def units(self, step: int, apart: int = 0) -> tuple[np.ndarray, np.ndarray, int]:
+        """(unit of each entry, first unit of each document, units): ``step`` words a unit, ``apart`` units between documents."""
+        counts = -(-self.sizes // step) + apart
+        first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+        return np.repeat(first[:-1], np.diff(self.at)) + self.pos // step, first, int(first[-1])
+
+
+def code(lists: list[list[bytes]], index: dict[bytes, int]) -> Coded:
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    get, pos, term = index.get, [], []
+    for words in lists:
+        ids = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
+        at = np.flatnonzero(ids >= 0)
+        pos.append(at.astype(np.int32))
+        term.append(ids[at])
+    bounds = np.concatenate([[0], np.cumsum([len(p) for p in pos])]).astype(np.int64)
+    none = [np.zeros(0, np.int32)]
+    return Coded(sizes, bounds, np.concatenate(pos + none), np.concatenate(term + none))
+
+
 def _together(batches: Iterator[pa.RecordBatch], text_at: int):
     """Documents in groups of about TOGETHER words: (batch, first row, word lists)."""
     for batch in batches:
@@ -112,42 +147,56 @@ def _together(batches: Iterator[pa.RecordBatch], text_at: int):
             yield batch, first, lists
 
 
-def _sparse(lists: list[list[bytes]], index: dict[bytes, int], step: int):
-    """Chunk, term and position of every vocabulary word; chunks of ``step`` words never span documents.
+def coded_documents(docs: DataFrame, vocabulary: list[bytes], key: str | None = "doc_id") -> DataFrame:
+    """(key, words, pos, term) of every document, written once."""
+    index = {w: i for i, w in enumerate(vocabulary)}
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+    cols = ([F.col(key).alias("key")] if key else [F.lit(0).alias("key")]) + ["text"]
+    narrow = docs.select(*cols)
 
-    Also returns the first chunk of each document and the number of chunks.
-    """
-    sizes = np.array([len(x) for x in lists])
-    chunks = -(-sizes // step)
-    first = np.concatenate([[0], np.cumsum(chunks)])
-    chunk, term = [], []
-    get = index.get
-    for k, words in enumerate(lists):
-        ids = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
-        at = np.flatnonzero(ids >= 0)
-        chunk.append(first[k] + at // step)
-        term.append(ids[at])
-    return np.concatenate(chunk), np.concatenate(term), first, int(first[-1])
+    def run(batches):
+        for batch, first, lists in _together(batches, 1):
+            c = code(lists, shared.value)
+            bounds = pa.array(c.at, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(first, len(lists)), pa.array(c.sizes, pa.int64()),
+                 pa.ListArray.from_arrays(bounds, pa.array(c.pos)), pa.ListArray.from_arrays(bounds, pa.array(c.term))],
+                names=["key", "words", "pos", "term"])
 
+    kind = narrow.schema["key"].dataType.simpleString()
+    return materialise(narrow.mapInArrow(run, f"key {kind}, words bigint, pos array<int>, term array<int>"), "coded")
 
-def _document_frequencies(docs: DataFrame, vocabulary: list[bytes], window: int) -> tuple[np.ndarray, int]:
-    """Passages that hold each term, and passages in all."""
-    index = {w: i for i, w in enumerate(vocabulary)}
-    shared, size = docs.sparkSession.sparkContext.broadcast(index), len(vocabulary)
 
+def _groups(batches: Iterator[pa.RecordBatch]):
+    """Coded documents in groups of about TOGETHER words: (keys, Coded)."""
+    for batch in batches:
+        sizes = batch.column(1).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        start = 0
+        while start < len(sizes):
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + TOGETHER, "right")))
+            part = batch.slice(start, stop - start)
+            pos, term = part.column(2), part.column(3)
+            offsets = pos.offsets.to_numpy()
+            yield part.column(0), Coded(sizes[start:stop], (offsets - offsets[0]).astype(np.int64),
+                                        pos.flatten().to_numpy(zero_copy_only=False), term.flatten().to_numpy(zero_copy_only=False))
+            start = stop
+
+
+def _document_frequencies(coded: DataFrame, size: int, window: int) -> tuple[np.ndarray, int]:
+    """Passages that hold each term, and passages in all."""
     def run(batches):
         df, passages = np.zeros(size + 1, np.int64), 0
-        for _, _, lists in _together(batches, 0):
-            chunk, term, _, n = _sparse(lists, shared.value, window)
-            df[:size] += np.bincount(np.unique(chunk * size + term) % size, minlength=size)
+        for _, c in _groups(batches):
+            unit, _, n = c.units(window)
+            df[:size] += np.bincount(np.unique(unit * size + c.term) % size, minlength=size)
             passages += n
         df[size] = passages
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict({"term": at, "df": df[at]})
 
     out = np.zeros(size + 1, np.int64)
-    for term, df in docs.select("text").mapInArrow(run, "term bigint, df bigint").groupBy("term").agg(
-            F.sum("df")).collect():
+    for term, df in coded.mapInArrow(run, "term bigint, df bigint").groupBy("term").agg(F.sum("df")).collect():
         out[term] = df
     return out[:size], int(out[size])
 
@@ -190,20 +239,25 @@ def _project(row, term, weight, rows, basis):
     return _chunk_sums(term, starts, basis, weight.astype(basis.dtype))[:-1]
 
 
-def _sketch(docs: DataFrame, kept: list[bytes], idf: np.ndarray, s: Settings) -> np.ndarray:
-    """A'(A W) over all passages of the corpus."""
-    index = {w: i for i, w in enumerate(kept)}
-    width, size = min(s.rank + s.oversample, len(kept)), len(kept)
-    shared = docs.sparkSession.sparkContext.broadcast((index, idf))
+def _sketch(coded: DataFrame, place: np.ndarray, idf: np.ndarray, s: Settings) -> np.ndarray:
+    """A'(A W) over all passages of the corpus; ``place`` numbers the terms with a weight (-1: none).
+
+    The number of tasks, and with it of shares of the sum, is that of the shuffle partitions at most.
+    """
+    size = len(idf)
+    width = min(s.rank + s.oversample, size)
+    shared = coded.sparkSession.sparkContext.broadcast((place, idf))
     pieces = -(-size // PIECE)
 
     def run(batches):
-        index, idf = shared.value
+        place, idf = shared.value
         test = np.random.default_rng(s.seed).standard_normal((size, width)).astype(np.float32)
         total = np.zeros((size, width))
-        for _, _, lists in _together(batches, 0):
-            chunk, term, _, _ = _sparse(lists, index, s.window)
-            row, term, weight, rows = _rows(chunk, term, idf)
+        for _, c in _groups(batches):
+            unit, _, _ = c.units(s.window)
+            weighted = place[c.term]
+            some = weighted >= 0
+            row, term, weight, rows = _rows(unit[some], weighted[some], idf)
             if not rows:
                 continue
             y = _project(row, term, weight, rows, test)
@@ -224,8 +278,8 @@ def _sketch(docs: DataFrame, kept: list[bytes], idf: np.ndarray, s: Settings) ->
         yield pa.RecordBatch.from_pydict({"piece": pa.array(list(sums), pa.int64()),
                                           "sums": pa.array([x.tobytes() for x in sums.values()], pa.binary())})
 
-    parts = (docs.select("text").mapInArrow(run, "piece bigint, sums binary").repartition("piece")
-             .mapInArrow(add, "piece bigint, sums binary").collect())  # kept terms x width
+    parts = (coded.coalesce(partitions(coded.sparkSession)).mapInArrow(run, "piece bigint, sums binary").repartition("piece")
+             .mapInArrow(add, "piece bigint, sums binary").collect())  # weighted terms x width
     out = np.zeros((size, width))
     for p in parts:
         out[p["piece"] * PIECE:(p["piece"] + 1) * PIECE] = np.frombuffer(p["sums"]).reshape(-1, width)
@@ -250,145 +304,113 @@ def latent_basis(sketch: np.ndarray, s: Settings) -> np.ndarray:
 class Search:
     """The projected items of one block, and the check of documents against them."""
 
-    def __init__(self, items: list[Item], kept: list[bytes], idf: np.ndarray, basis: np.ndarray, s: Settings,
-                 rates: dict[bytes, float]):
-        self.s, self.items = s, items
-        self._file(rates)
-        self.index = {w: i for i, w in enumerate(kept)}
+    def __init__(self, items: list[Item], vocabulary: list[bytes], place: np.ndarray, idf: np.ndarray, basis: np.ndarray, s: Settings,
+                 short: dict[tuple, list] | None = None):
+        self.s, self.place = s, place
+        self.short = short or {}
+        self.index = {w: i for i, w in enumerate(vocabulary)}
+        self.items = [i.coded(self.index) for i in items]
         self.basis = (basis * idf[:, None]).astype(np.float32)
-        self.vectors, self.owner, _ = self._windows([i.words for i in items])
-        self.masks = [(i.masks(), Item(0, i.answer, []).masks()) for i in items]
-
-    def _file(self, rates):
-        """Items under their rarest words: of ``size - least + t`` words of an item, a match holds t in t places."""
-        self.sizes = np.array([len(i.words) for i in self.items])
-        self.reach = self.s.window + 2 * self.sizes  # words that a check looks at
-        self.enough = np.ones(len(self.items), np.int64)
-        filed: dict[bytes, list[int]] = {}
-        for i, item in enumerate(self.items):
-            n = len(item.words)
-            spare = n - next(x for x in range(1, n + 1) if x / n >= self.s.paraphrase_lcs)
-            words = sorted(item.words, key=lambda w: (rates[w], w))
-            best = None
-            for t in range(1, n - spare + 1):  # any t is right; the cheapest by a Poisson estimate is taken
-                rate = sum(rates[w] for w in set(words[:spare + t]))
-                mean = rate * int(self.reach[i])
-                term, below = np.exp(-mean), 0.0
-                for x in range(t - 1):
-                    below, term = below + term, term * mean / (x + 1)
-                cost = rate * (1 + 2000 * max(0.0, 1 - below))
-                if best is None or cost < best[0]:
-                    best = cost, t
-            self.enough[i] = best[1]
-            for w in set(words[:spare + best[1]]):
-                filed.setdefault(w, []).append(i)
-        self.filed = {w: k for k, w in enumerate(filed)}
-        self.bounds = np.concatenate([[0], np.cumsum([len(x) for x in filed.values()])]).astype(np.int64)
-        self.under = np.array([i for x in filed.values() for i in x], np.int64)
-
-    def _holding(self, lists):
-        """{(document, item): first words} of all windows around which enough of the item's filed words stand."""
-        place, term, first, n = _sparse(lists, self.filed, 1)
-        out: dict[tuple[int, int], set[int]] = {}
-        doc_of = np.repeat(np.arange(len(lists)), np.diff(first))
-        count = self.bounds[term + 1] - self.bounds[term]
-        done = np.cumsum(count)
-        start = 0
-        while start < len(place):  # whole documents of about ENTRIES entries together
-            stop = int(np.searchsorted(done, (done[start - 1] if start else 0) + ENTRIES, "right"))
-            stop = max(start + 1, stop)
-            if stop < len(place):
-                whole = int(np.searchsorted(place, first[doc_of[place[stop]]]))
-                stop = whole if whole > start else int(np.searchsorted(place, first[doc_of[place[start]] + 1]))
-            part = slice(start, stop)
-            many = count[part]
-            at = np.arange(many.sum()) + np.repeat(self.bounds[term[part]] - (np.cumsum(many) - many), many)
-            item, where = self.under[at], np.repeat(place[part], many)
-            key = doc_of[where] * len(self.items) + item
-            order = np.argsort(key, kind="stable")
-            key, where, item = key[order], where[order], item[order]
-            last = np.arange(len(key)) + self.enough[item] - 1
-            ok = last < len(key)
-            last = np.minimum(last, len(key) - 1)
-            ok &= (key[last] == key) & (where[last] - where < self.reach[item])
-            hit = np.flatnonzero(ok)
-            doc, item = key[hit] // len(self.items), item[hit]
-            half, size = self.s.window // 2, self.sizes[item]
-            low = np.maximum((where[last[hit]] - first[doc] - self.s.window - size) // half + 1, 0)
-            high = np.minimum((where[hit] - first[doc] + size) // half, (first[doc + 1] - first[doc] - 1) // half)
-            for row in np.unique(np.stack([doc, item, low, high], 1), axis=0).tolist():
-                out.setdefault((row[0], row[1]), set()).update(range(row[2] * half, (row[3] + 1) * half, half))
-            start = stop
-        return out
-
-    def _windows(self, lists):
-        """Unit vectors of all windows (two neighbouring half windows), their document and first word."""
-        half = self.s.window // 2
-        chunk, term, first, n = _sparse(lists, self.index, half)
-        empty = np.zeros((0, self.basis.shape[1]), np.float32)
-        if not len(chunk):
-            return empty, np.zeros(0, int), np.zeros(0, int)
-        full = np.flatnonzero(np.diff(chunk, prepend=-1))
-        padded = _chunk_sums(term, full, self.basis)
-        where = np.full(n + 1, -1)
-        where[chunk[full]] = np.arange(len(full))
-        doc_of = np.repeat(np.arange(len(lists)), np.diff(first))
-        starts = np.unique(np.concatenate([chunk[full], chunk[full] - 1]))
-        starts = starts[starts >= 0]
-        one = where[starts]
-        two = np.where((starts + 1 < n) & (doc_of[np.minimum(starts + 1, n - 1)] == doc_of[starts]),
-                       where[starts + 1], -1)
-        vectors = padded[one]
-        vectors += padded[two]
-        norm = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-        some = norm > 1e-9
-        if not some.all():
-            vectors, norm, starts = vectors[some], norm[some], starts[some]
-        vectors /= norm[:, None]
-        at = doc_of[starts]
-        return vectors, at, (starts - first[at]) * half
-
-    def find(self, lists: list[list[bytes]]):
+        self.masks = [(i.masks(), Item(0, i.answer, []).masks()) for i in self.items]
+        # items by the width of their windows: (width, vectors, item of each)
+        self.classes = []
+        sizes = np.array([len(i.words) for i in items])
+        for n, width in enumerate(s.widths):
+            low = 0 if n == 0 else 3 * s.widths[n - 1] // 2
+            high = np.inf if n + 1 == len(s.widths) else 3 * width // 2
+            vectors, owner = [], []
+            for i in np.flatnonzero((sizes >= low) & (sizes < high)).tolist():
+                words = self.items[i].words
+                starts = [0] if len(words) < high and len(words) <= 3 * width // 2 else range(0, len(words) - width // 2, width // 2)
+                for start in starts:
+                    part = words if starts == [0] else words[start:start + width]
+                    at = place[part]
+                    v = self.basis[at[at >= 0]].sum(axis=0)
+                    norm = float(np.sqrt(v @ v))
+                    if norm > 1e-9:
+                        vectors.append(v / norm)
+                        owner.append(i)
+            if vectors:
+                self.classes.append((width, np.array(vectors, np.float32), np.array(owner)))
+
+    def find(self, c: Coded):
         """(document, item, cosine, share of the item, share of the answer, first word) of every match."""
-        vectors, doc_of, first = self._windows(lists)
-        best: dict[tuple[int, int], list] = {}
-        for at in range(0, len(vectors), 4096):
-            near = vectors[at:at + 4096] @ self.vectors.T
-            hits = np.flatnonzero(near.ravel() >= self.s.min_cosine)
-            for w, q in zip(*np.divmod(hits, near.shape[1])):
-                key = (int(doc_of[at + w]), int(self.owner[q]))
-                best.setdefault(key, []).append((float(near[w, q]), int(first[at + w])))
-        held = self._holding(lists)
-        for doc, item in sorted(best.keys() | held.keys()):
-            found, seen = None, best.get((doc, item), [])
-            for start in sorted({start for _, start in seen} | held.get((doc, item), set())):
-                hit = self._check(lists[doc], self.items[item], self.masks[item], start)
+        best: dict[tuple[int, int], dict[int, tuple[float, int]]] = {}
+        weighted = self.place[c.term]
+        some = weighted >= 0
+        if not some.any() or not self.classes:
+            return
+        apart = max(self.s.widths) // UNIT - 1  # so that no window meets two documents
+        unit, first, n = c.units(UNIT, apart)
+        unit, term = unit[some], weighted[some]
+        full = np.flatnonzero(np.diff(unit, prepend=-1))
+        level = np.zeros((n + 1, self.basis.shape[1]), np.float32)
+        level[unit[full]] = _chunk_sums(term, full, self.basis)[:-1]
+        width, step = UNIT, 1  # rows of ``level``: windows of ``width`` words that begin ``step`` units apart
+        for wide, vectors, owner in self.classes:
+            while width < wide:
+                half = width // (UNIT * step)
+                level = (level[:-half] + level[half:])
+                if width > UNIT:
+                    level, step = level[::2], step * 2
+                width *= 2
+            norm = np.sqrt(np.einsum("ij,ij->i", level, level))
+            rows = np.flatnonzero(norm > 1e-9)
+            doc_of = np.searchsorted(first, rows * step + width // UNIT - 1, "right") - 1
+            for at in range(0, len(rows), 4096):
+                some_rows = rows[at:at + 4096]
+                near = (level[some_rows] @ vectors.T) / norm[some_rows, None]
+                hit, q = np.nonzero(near >= self.s.min_cosine)
+                cosine = near[hit, q]
+                doc = doc_of[at + hit]
+                start = np.maximum((some_rows[hit] * step - first[doc]) * UNIT, 0)
+                for d, i, cos, word in zip(doc.tolist(), owner[q].tolist(), cosine.tolist(), start.tolist()):
+                    seen = best.setdefault((d, i), {})
+                    if word not in seen or seen[word][0] < cos:
+                        seen[word] = cos, width
+        for (doc, item), seen in sorted(best.items()):
+            low, high = c.at[doc], c.at[doc + 1]
+            found, cosine = None, max(cos for cos, _ in seen.values())
+            pos, terms = c.pos[low:high], c.term[low:high]
+            for start in sorted(seen):
+                hit = self._check(pos, terms, item, start, seen[start][1])
                 if hit and (found is None or hit > found[:2]):
                     found = (*hit, start)
             if found:
-                cosine = max((c for c, _ in seen), default=None)
-                if cosine is None:
-                    rows = slice(*np.searchsorted(doc_of, [doc, doc + 1]))
-                    cosine = float((vectors[rows] @ self.vectors[self.owner == item].T).max(initial=0))
                 yield doc, item, cosine, *found
 
-    def _check(self, words, item, masks, start):
-        size = len(item.words)
-        around = words[max(0, start - size):start + self.s.window + size]
+    def _check(self, pos, terms, item, start, width):
+        words, answer, masks = self.items[item].words, self.items[item].answer, self.masks[item]
+        size = len(words)
+        low, high = np.searchsorted(pos, [start - size, start + max(width, self.s.window) + size])
+        around = terms[low:high].tolist()
         held = masks[0].keys() & set(around)  # an upper bound first
-        if sum(map(held.__contains__, item.words)) < self.s.paraphrase_lcs * size:
+        if sum(map(held.__contains__, words)) < self.s.paraphrase_lcs * size:
             return None
         share = lcs(masks[0], size, around) / size
         if share < self.s.paraphrase_lcs:
             return None
-        answer = lcs(masks[1], len(item.answer), around) / len(item.answer)
-        if share >= self.s.min_lcs or answer >= self.s.min_answer:
-            return share, answer
+        answered = lcs(masks[1], len(answer), around) / len(answer)
+        if share >= self.s.min_lcs or answered >= self.s.min_answer:
+            return share, answered
         return None
 
-
-def _blocks(bench: DataFrame, s: Settings) -> Iterator[list[Item]]:
-    """The benchmark in blocks of bounded size."""
+    def lines(self, text: bytes | None):
+        """(item id, first word) of the short items that are a line of a text."""
+        if not self.short or not text:
+            return
+        seen, word = set(), 0
+        for line in text.split(b"\n"):
+            words = words_of(line)
+            for i in self.short.get(tuple(words), ()):
+                if i not in seen:
+                    seen.add(i)
+                    yield i, word
+            word += len(words)
+
+
+def _blocks(bench: DataFrame, s: Settings) -> Iterator[tuple[list[Item], dict[tuple, list]]]:
+    """The benchmark in blocks of bounded size: (items, ids of short items by their words)."""
     if "answer" not in bench.columns:
         bench = bench.withColumn("answer", F.lit(None).cast("string"))
     bench = bench.select("item_id", "text", "answer").where("text is not null")
@@ -396,35 +418,39 @@ def _blocks(bench: DataFrame, s: Settings) -> Iterator[list[Item]]:
     blocks = 1 + chars // BLOCK_CHARS
     for k in range(blocks):
         rows = bench.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
-        items = []
+        items, short = [], {}
         for r in rows:
             words = words_of(r["text"].encode())
             if len(words) >= s.min_words:
                 answer = words_of((r["answer"] or "").encode()) or words[-(-3 * len(words) // 4):]
                 items.append(Item(r["item_id"], words, answer))
-        if items:
-            yield items
-
-
-def searches(docs: DataFrame, bench: DataFrame, s: Settings) -> Iterator[Search]:
-    """A fitted search for each block of the benchmark."""
-    for items in _blocks(bench, s):
-        vocabulary = sorted({w for i in items for w in i.words})
-        df, passages = _document_frequencies(docs, vocabulary, s.window)
-        rare = df <= max(1.0, s.max_df * passages)
-        if not (rare & (df > 0)).any():
-            rare = df <= passages  # a corpus of a few passages
-        # an item all of whose words are frequent keeps them
+            elif words:
+                short.setdefault(tuple(words), []).append(r["item_id"])
+        if items or short:
+            yield items, short
+
+
+def searches(docs: DataFrame, bench: DataFrame, s: Settings, key: str | None = None) -> Iterator[tuple[Search, DataFrame]]:
+    """(fitted search, coded documents) for each block of the benchmark."""
+    for items, short in _blocks(bench, s):
+        vocabulary = sorted({w for i in items for w in [*i.words, *i.answer]})
+        coded = coded_documents(docs, vocabulary, key)
+        df, passages = _document_frequencies(coded, len(vocabulary), s.window)
+        rare = df <= s.max_df * passages
         number = {w: k for k, w in enumerate(vocabulary)}
-        for i in items:
-            at = [number[w] for w in i.words]
-            if not rare[at].any():
-                rare[at] = True
-        at = np.flatnonzero(rare)
-        kept = [vocabulary[i] for i in at]
-        idf = np.log((1 + passages) / (1 + df[at])) + 1e-3
-        rates = dict(zip(vocabulary, (df / max(1, passages * s.window)).tolist()))
-        yield Search(items, kept, idf, latent_basis(_sketch(docs, kept, idf, s), s), s, rates)
+        has_rare = [bool(rare[[number[w] for w in i.words]].any()) for i in items]
+        kinds = [([i for i, h in zip(items, has_rare) if h], rare)]
+        frequent = [i for i, h in zip(items, has_rare) if not h]
+        if frequent:
+            theirs = np.zeros(len(vocabulary), bool)
+            theirs[[number[w] for i in frequent for w in i.words]] = True
+            kinds.append((frequent, theirs))
+        for n, (some, weighted) in enumerate(kinds):
+            place = np.full(max(1, len(vocabulary)), -1)
+            place[np.flatnonzero(weighted)] = np.arange(weighted.sum())
+            idf = np.log((1 + passages) / (1 + df[weighted])) + 1e-3
+            basis = latent_basis(_sketch(coded, place, idf, s), s) if some else np.zeros((len(idf), 1))
+            yield Search(some, vocabulary, place, idf, basis, s, short if n == 0 else None), coded
 
 
 def matches(docs: DataFrame, bench: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -434,35 +460,51 @@ def matches(docs: DataFrame, bench: DataFrame, s: Settings = Settings()) -> Data
     schema = (f"doc_id {kind}, item_id {item_kind}, cosine double, item_share double, answer_share double, "
               "first_word bigint")
     out = docs.sparkSession.createDataFrame([], schema)
-    for search in searches(docs, bench, s):
+    names = ["doc_id", "item_id", "cosine", "item_share", "answer_share", "first_word"]
+
+    def rows(keys, found):
+        at, item, cosine, share, answer, start = zip(*found)
+        return pa.RecordBatch.from_arrays(
+            [keys.take(pa.array(at)), pa.array(item, pa.int64()), pa.array(np.round(cosine, 4)), pa.array(np.round(share, 4)),
+             pa.array(np.round(answer, 4)), pa.array(start, pa.int64())], names=names)
+
+    for search, coded in searches(docs, bench, s, "doc_id"):
         shared = docs.sparkSession.sparkContext.broadcast(search)
 
         def run(batches, shared=shared):
-            for batch, first, lists in _together(batches, 1):
-                found = list(shared.value.find(lists))
+            items = shared.value.items
+            for keys, c in _groups(batches):
+                found = [(d, items[i].item_id, *rest) for d, i, *rest in shared.value.find(c)]
+                if found:
+                    yield rows(keys, found)
+
+        def short(batches, shared=shared):
+            for batch in batches:
+                found = [(d, i, 1.0, 1.0, 1.0, at) for d, t in enumerate(utf8(batch.column(1))) for i, at in shared.value.lines(t)]
                 if found:
-                    doc, item, cosine, share, answer, start = zip(*found)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array([first + d for d in doc])),
-                         pa.array([shared.value.items[i].item_id for i in item], pa.int64()),
-                         pa.array(np.round(cosine, 4)), pa.array(np.round(share, 4)), pa.array(np.round(answer, 4)),
-                         pa.array(start, pa.int64())],
-                        names=["doc_id", "item_id", "cosine", "item_share", "answer_share", "first_word"])
-
-        out = out.unionAll(docs.select("doc_id", "text").mapInArrow(run, schema))
+                    yield rows(batch.column(0), found)
+
+        out = out.unionAll(coded.mapInArrow(run, schema))
+        if search.short:
+            out = out.unionAll(docs.select("doc_id", "text").mapInArrow(short, schema))
     return out
 
 
 def clean(docs: DataFrame, bench: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The documents without a match, with all their columns."""
-    for search in searches(docs, bench, s):
+    kept = docs
+    for search, _ in searches(docs, bench, s):
         shared = docs.sparkSession.sparkContext.broadcast(search)
         text_at = docs.columns.index("text")
 
         def run(batches, shared=shared):
             for batch, first, lists in _together(batches, text_at):
-                hit = {d for d, *_ in shared.value.find(lists)}
-                yield batch.slice(first, len(lists)).filter(pa.array([d not in hit for d in range(len(lists))]))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+                search = shared.value
+                hit = {d for d, *_ in search.find(code(lists, search.index))}
+                part = batch.slice(first, len(lists))
+                if search.short:
+                    hit |= {d for d, t in enumerate(utf8(part.column(text_at))) if any(search.lines(t))}
+                yield part.filter(pa.array([d not in hit for d in range(len(lists))]))
+
+        kept = kept.mapInArrow(run, docs.schema)
+    return kept
