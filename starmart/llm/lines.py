@@ -117,7 +117,7 @@ def repeats(levels: list[DataFrame], min_lines: int) -> DataFrame:
     return found
 
 
-def repeated_lines(docs: DataFrame, min_lines: int = 2) -> tuple[DataFrame, DataFrame]:
+def repeated_lines(docs: DataFrame, min_lines: int = 1) -> tuple[DataFrame, DataFrame]:
     """(sequences, repeats): repeats hold d, pos, run, src_d, src_pos; positions count non-blank lines."""
     made = sequences(docs)
     lines = made.select("d", F.size("lines").cast("long").alias("n"), F.posexplode("lines").alias("pos", "line"))
@@ -129,7 +129,7 @@ def repeated_lines(docs: DataFrame, min_lines: int = 2) -> tuple[DataFrame, Data
     return made, repeats(levels, min_lines)
 
 
-def deduplicated_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+def deduplicated_lines(docs: DataFrame, min_lines: int = 1) -> DataFrame:
     """doc_id, lines, deleted_lines, kept_chars, deleted (line numbers) for every document."""
     made, found = repeated_lines(docs, min_lines)
     # runs of a document may overlap: one entry per line
@@ -143,14 +143,14 @@ def deduplicated_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
                        F.transform("at", lambda i: F.get("all", i)["no"]).alias("deleted"))
 
 
-def line_dedup_report(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+def line_dedup_report(docs: DataFrame, min_lines: int = 1) -> DataFrame:
     """doc_id, lines, deleted_lines, kept_chars, first_deleted, last_deleted (line numbers from 0)."""
     return deduplicated_lines(docs, min_lines).select(
         "doc_id", "lines", "deleted_lines", "kept_chars", F.get("deleted", F.lit(0)).alias("first_deleted"),
         F.get("deleted", F.size("deleted") - 1).alias("last_deleted"))
 
 
-def without_repeats(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+def without_repeats(docs: DataFrame, min_lines: int = 1) -> DataFrame:
     """doc_id, text without the deleted lines, for every document (rows alike in both get the shortest text)."""
     cut = deduplicated_lines(docs, min_lines).where("deleted_lines > 0").select("doc_id", "deleted")
     keyed = docs.select("doc_id", "text").join(cut, "doc_id")
@@ -159,7 +159,7 @@ def without_repeats(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     return changed.unionAll(docs.select("doc_id", "text").join(cut, "doc_id", "left_anti"))
 
 
-def line_dedup_sql(min_lines: int = 2) -> str:
+def line_dedup_sql(min_lines: int = 1) -> str:
     """DuckDB SQL of ``line_dedup_report``: windows of ``min_lines`` lines that stood somewhere before."""
     following = ", ".join(f"LEAD(line, {i}) OVER q" for i in range(1, min_lines)) or "NULL"
     return f"""
