@@ -53,15 +53,37 @@ def test_decontamination_stage(spark, stages):
 
 def test_mixing_stage(stages):
     before = {r.doc_id: r for r in stages[3].collect()}
-    copies = Counter(r.doc_id for r in stages[4].collect())
-    assert set(copies) <= set(before) and max(copies.values()) <= 3
-    sizes, words = Counter(), Counter()
-    for d, r in before.items():
+    after = stages[4].collect()
+    whole = Counter(r.doc_id for r in after if r.text == before[r.doc_id].text)
+    assert {r.doc_id for r in after} <= set(before) and max(whole.values()) <= 3
+    sizes, words, cut = Counter(), Counter(), Counter()
+    for r in before.values():
         sizes[r.source] += len(r.text.split())
-        words[r.source] += copies[d] * len(r.text.split())
-    target = brute_targets(sizes)
-    longest = max(len(r.text.split()) for r in before.values())
-    assert all(abs(words[s] - target[s]) <= longest for s in sizes)  # whole documents
+    for r in after:
+        words[r.source] += len(r.text.split())
+        if r.text != before[r.doc_id].text:
+            cut[r.source] += 1
+            assert before[r.doc_id].text.split()[:len(r.text.split())] == r.text.split() and r.n_chars == len(r.text)
+    assert words == Counter({s: int(t + 0.5) for s, t in brute_targets(sizes).items()})  # to the word
+    assert max(cut.values()) == 1
+
+
+CLASHING = ["_id", "_hash", "_n", "_none", "_copies", "_copy", "_g", "_size", "_key", "g", "row", "cut", "none", "id", "hash", "nth",
+            "whole", "rest", "key", "words", "_h", "_b", "_one", "a.b"]
+
+
+def test_clashing_columns_keep_their_values(spark):
+    plain = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = plain.select("*", *[F.concat(F.lit(f"{c} "), F.col("doc_id")).alias(c) for c in CLASHING],
+                       *[F.col("doc_id").alias(c) for c in ("size", "shard", "slot")])
+    for name, stage in pipeline.STAGES:
+        want, got = stage(spark, plain, SF), stage(spark, odd, SF)
+        if name != "sharding":
+            assert got.columns == odd.columns
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+        assert set(CLASHING) <= set(got.columns)
+        for r in got.collect():
+            assert all(r[c] == f"{c} {r['doc_id']}" for c in CLASHING)
 
 
 def test_sharding_stage(stages):
