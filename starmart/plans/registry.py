@@ -10,10 +10,12 @@ from . import catalog
 from . import reports_source as RS
 from . import reports_star as RM
 from . import bitmaps as BM
+from . import bucketed as BK
 from . import mart_load as ML
 from . import quality as K
 from . import reconcile as RC
 from . import refresh as R
+from ..sources.normalize import normalize_sources
 from ..streaming import feed as ST
 from ..streaming import mart_feed as SF
 from ..streaming import monthly as SM
@@ -72,6 +74,8 @@ def queries() -> dict[str, Query]:
         "diagnosis_category_ranges": _mart(RM.diagnosis_category_ranges),
         "procedure_category_ranges": _mart(RM.procedure_category_ranges),
         "distinct_rollup": _mart(BM.distinct_rollup),
+        "q2_star_bucketed": _mart(BK.q2_star_bucketed),
+        "encounter_type_settings": _src(RM.encounter_type_settings),
     }
     both = lambda fn: (lambda spark, sf_dir: fn(catalog.sources(spark, sf_dir),
                                                  catalog.mart(spark, sf_dir)))
@@ -85,6 +89,7 @@ def queries() -> dict[str, Query]:
         "dq_reconcile_encounters": both(RC.dq_reconcile_encounters),
         "dq_dropped_encounters": both(K.dropped_encounters),
         "dq_encounter_type_domain": _src(K.encounter_type_domain),
+        "dq_odd_encounter_types": _src(lambda s: K.encounter_type_domain(normalize_sources(K.with_odd_types(s)))),
         "dq_string_lengths": both(lambda s, m: K.string_lengths(K.all_tables(s, m))),
     })
     for name in ("incremental_facts", "scd1_upsert_patient", "insert_ignore_patient", "scd2_patient",

@@ -35,6 +35,13 @@ SOURCE = {
                    ("claim_date", D), ("claim_status", S)),
 }
 
+#: ids that some sources give their rows; kept where a source has them, checked by K1
+OPTIONAL_IDS = {"billing": "billing_id", "encounter_diagnoses": "encounter_diagnosis_id",
+                "encounter_procedures": "encounter_procedure_id"}
+
+#: domain of the encounter type (K7), canonical spelling
+ENCOUNTER_TYPES = ["Outpatient", "Inpatient", "ER"]
+
 MART = {
     "dim_date": _st(("date_key", I), ("full_date", D), ("year", I), ("month", I), ("month_name", S),
                     ("quarter", I), ("day_of_week", S), ("is_weekend", B)),
@@ -81,3 +88,10 @@ def conform(df, schema: T.StructType):
     """Select the schema's columns in order, cast to the declared types."""
     from pyspark.sql import functions as F
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def conform_source(df, table: str):
+    """A source table in its declared columns, with its own row id where it has one."""
+    own = OPTIONAL_IDS.get(table)
+    fields = [T.StructField(own, L)] if own in df.columns else []
+    return conform(df, T.StructType([*fields, *SOURCE[table].fields]))

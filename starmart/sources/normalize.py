@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.quality import ENCOUNTER_TYPES
+from .. import schemas
+from ..schemas import ENCOUNTER_TYPES
 
 
 def canonical_type(c: Column) -> Column:
@@ -28,3 +29,12 @@ def normalize_sources(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
     e = src["encounters"]
     out["encounters"] = e.withColumn("encounter_type", canonical_type(F.col("encounter_type")))
     return out
+
+
+def read_sources(spark, folder: str, fmt: str = "parquet", **options) -> dict[str, DataFrame]:
+    """The ten source tables of a folder (a file or directory each), in declared types, cleaned up."""
+    src = {}
+    for table in schemas.SOURCE:
+        raw = spark.read.format(fmt).options(**options).load(f"{folder.rstrip('/')}/{table}.{fmt}")
+        src[table] = schemas.conform_source(raw, table)
+    return normalize_sources(src)

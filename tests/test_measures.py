@@ -174,6 +174,51 @@ def test_bitmaps_merge(spark):
     assert BM.rolled_up(stored.limit(0), ()).first() == (0, 0)
 
 
+# ---- S1 ----
+def test_source_ids_are_kept(spark, base):
+    from starmart.session import fresh_path
+    from starmart.sources.normalize import read_sources
+    src, _ = base
+    folder = fresh_path(spark, "own")
+    for table, df in src.items():
+        if table == "billing":
+            df = df.withColumn("claim_amount", F.col("claim_amount").cast("double")).withColumn("billing_id", F.col("encounter_id") * 2)
+        df.write.parquet(f"{folder}/{table}.parquet")
+    read = read_sources(spark, folder)
+    assert read["billing"].columns[0] == "billing_id" and dict(read["billing"].dtypes)["claim_amount"] == "decimal(12,2)"
+    assert read["encounter_diagnoses"].columns == src["encounter_diagnoses"].columns
+    from starmart.plans import quality as K
+    checked = {(r.table_name, r.key_columns): r.duplicated_keys for r in K.key_uniqueness(read).collect()}
+    assert checked["billing", "billing_id"] == 1                 # two claims of 7101
+
+
+# ---- J13 ----
+def test_bucketed_bridges_join_without_an_exchange(spark):
+    from starmart.plans.bucketed import BucketedBridges
+    rng = random.Random(4)
+    dx = [(1 if rng.random() < 0.4 else rng.randrange(2, 200), rng.randrange(90), 1) for _ in range(3000)]  # a hot encounter
+    px = [(1 if rng.random() < 0.4 else rng.randrange(2, 200), rng.randrange(70)) for _ in range(2000)]
+    m = {"fact_encounters": spark.range(1),
+         "bridge_encounter_diagnoses": spark.createDataFrame(dx, "encounter_key bigint, diagnosis_key bigint, s int"),
+         "bridge_encounter_procedures": spark.createDataFrame(px, "encounter_key bigint, procedure_key bigint"),
+         "dim_diagnosis": spark.createDataFrame([(i, f"d{i % 40:02}") for i in range(90)], "diagnosis_key bigint, icd_code string"),
+         "dim_procedure": spark.createDataFrame([(i, f"p{i % 30:02}") for i in range(70)], "procedure_key bigint, cpt_code string")}
+    by, want = {}, Counter()
+    for e, p in px:
+        by.setdefault(e, []).append(f"p{p % 30:02}")
+    for e, d, _ in dx:
+        want.update((f"d{d % 40:02}", p) for p in by.get(e, []))
+    for hot in (20, 10 ** 6):
+        stored = BucketedBridges(m, buckets=4, hot=hot, salts=8)
+        top = stored.top_pairs(15)
+        assert [tuple(r) for r in top.collect()] == sorted(((a, b, n) for (a, b), n in want.items()), key=lambda r: (-r[2], r[0], r[1]))[:15]
+        plan = stored.top_pairs(15)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        joined = plan[plan.index("SortMergeJoin"):]
+        assert "Exchange" not in joined and "Bucketed: true" in joined
+        spread = spark.table(stored.diagnoses).where("encounter_key = 1").select("salt").distinct().count()
+        assert spread > 4 if hot == 20 else spread == 1
+
+
 # ---- O4 ----
 def test_pruned_pairs_equal_all_pairs(spark):
     rng = random.Random(5)
