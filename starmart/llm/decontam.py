@@ -43,6 +43,8 @@ from .common import materialise, partitions, utf8
 BLOCK_CHARS = 1 << 19
 #: words of documents that are worked on together
 TOGETHER = 1 << 17
+#: windows with a candidate that are looked at together
+HITS = 1 << 15
 #: words of the smallest piece of a window
 UNIT = 8
 #: terms of one shuffled piece of the sketch
@@ -314,7 +316,10 @@ class Search:
         self.masks = [(i.masks(), Item(0, i.answer, []).masks()) for i in self.items]
         # items by the width of their windows: (width, vectors, item of each)
         self.classes = []
-        sizes = np.array([len(i.words) for i in items])
+        sizes = self.sizes = np.array([len(i.words) for i in items], np.int64)
+        # (item, word) pairs and how often the item has the word
+        self.pairs, self.times = np.unique([k * len(vocabulary) + w for k, i in enumerate(self.items) for w in i.words] or [-1],
+                                           return_counts=True)
         for n, width in enumerate(s.widths):
             low = 0 if n == 0 else 3 * s.widths[n - 1] // 2
             high = np.inf if n + 1 == len(s.widths) else 3 * width // 2
@@ -361,13 +366,16 @@ class Search:
                 some_rows = rows[at:at + 4096]
                 near = (level[some_rows] @ vectors.T) / norm[some_rows, None]
                 hit, q = np.nonzero(near >= self.s.min_cosine)
-                cosine = near[hit, q]
-                doc = doc_of[at + hit]
-                start = np.maximum((some_rows[hit] * step - first[doc]) * UNIT, 0)
-                for d, i, cos, word in zip(doc.tolist(), owner[q].tolist(), cosine.tolist(), start.tolist()):
-                    seen = best.setdefault((d, i), {})
-                    if word not in seen or seen[word][0] < cos:
-                        seen[word] = cos, width
+                for part in range(0, len(hit), HITS):
+                    h, owned = hit[part:part + HITS], owner[q[part:part + HITS]]
+                    doc = doc_of[at + h]
+                    start = np.maximum((some_rows[h] * step - first[doc]) * UNIT, 0)
+                    able = np.flatnonzero(self._able(c, doc, owned, start, width))
+                    cosine = near[h[able], q[part:part + HITS][able]]
+                    for d, i, cos, word in zip(doc[able].tolist(), owned[able].tolist(), cosine.tolist(), start[able].tolist()):
+                        seen = best.setdefault((d, i), {})
+                        if word not in seen or seen[word][0] < cos:
+                            seen[word] = cos, width
         for (doc, item), seen in sorted(best.items()):
             low, high = c.at[doc], c.at[doc + 1]
             found, cosine = None, max(cos for cos, _ in seen.values())
@@ -379,14 +387,28 @@ class Search:
             if found:
                 yield doc, item, cosine, *found
 
+    def _able(self, c: Coded, doc, item, start, width) -> np.ndarray:
+        """Whether enough words of the item stand around a window: a bound of their common subsequence."""
+        far = int(c.sizes.max(initial=0)) + 2 * int(self.sizes.max(initial=0)) + max(width, self.s.window) + 1
+        line = np.repeat(np.arange(len(c.sizes)), np.diff(c.at)) * far + c.pos
+        size = self.sizes[item]
+        low = np.searchsorted(line, doc * far + np.maximum(start - size, 0))
+        high = np.searchsorted(line, doc * far + np.minimum(start + max(width, self.s.window) + size, far - 1))
+        many = high - low
+        entry = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        hit = np.repeat(np.arange(len(doc)), many)
+        key = item[hit] * len(self.index) + c.term[entry]
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        held = self.pairs[at] == key
+        once = np.unique(hit[held] * len(self.pairs) + at[held])
+        count = np.bincount(once // len(self.pairs), self.times[once % len(self.pairs)], len(doc))
+        return count >= self.s.paraphrase_lcs * size
+
     def _check(self, pos, terms, item, start, width):
         words, answer, masks = self.items[item].words, self.items[item].answer, self.masks[item]
         size = len(words)
         low, high = np.searchsorted(pos, [start - size, start + max(width, self.s.window) + size])
         around = terms[low:high].tolist()
-        held = masks[0].keys() & set(around)  # an upper bound first
-        if sum(map(held.__contains__, words)) < self.s.paraphrase_lcs * size:
-            return None
         share = lcs(masks[0], size, around) / size
         if share < self.s.paraphrase_lcs:
             return None
