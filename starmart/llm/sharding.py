@@ -10,8 +10,8 @@ by remaining capacity.
   the bins are at most one a part more than twice the least number possible, and close to
   it when groups are small.
 * ``shard_of_groups`` fills a fixed number of shards evenly: ``pack`` makes crates of
-  1 / ``crates`` of a shard, then the crates (at most three times shards x crates, and one a part)
-  are packed on the driver, with the least capacity at which best-fit-decreasing needs
+  1 / ``crates`` of a shard; the under-full ones, one a part, are packed together in Spark; then the crates (at most
+  twice shards x crates, and one in ``PART`` parts) are packed on the driver, with the least capacity at which best-fit-decreasing needs
   no more bins than there are shards.  A group beyond an even share gets a shard of its own.
 
 The law held is ``bytes``: shard sizes in bytes are near equal, as far as
@@ -179,16 +179,34 @@ def fill_shards(sizes: list[int], n_shards: int) -> list[int]:
     return out + list(best_fit(rest, high, n_shards - open_shards))
 
 
+def crates_of_groups(groups: DataFrame, capacity: int) -> tuple[DataFrame, DataFrame]:
+    """((g, part, bin), (part, bin, size)): ``pack``, and the crates under half full, one a part at most, packed once more.
+
+    So under-full crates are as many as there are parts of parts; those made of crates have negative part numbers.
+    """
+    packed = materialise(pack(groups, capacity), "crates")
+    loads = materialise(packed.join(groups, "g").groupBy("part", "bin").agg(F.sum("size").alias("size")), "loads")
+    small = loads.where(F.col("size") * 2 < capacity).withColumn("crate", F.shiftleft("part", 32) + F.col("bin"))
+    again = materialise(pack(small.select(F.col("crate").alias("g"), "size"), capacity)
+                        .select(F.col("g").alias("crate"), (-1 - F.col("part")).alias("into"), F.col("bin").alias("at")), "crates")
+    moved = small.join(again, "crate")
+    final = (loads.where(F.col("size") * 2 >= capacity)
+             .unionByName(moved.groupBy(F.col("into").alias("part"), F.col("at").alias("bin")).agg(F.sum("size").alias("size"))))
+    placed = packed.join(moved.select("part", "bin", "into", "at"), ["part", "bin"], "left").select(
+        "g", F.coalesce("into", "part").alias("part"), F.coalesce("at", "bin").alias("bin"))
+    return placed, final
+
+
 def shard_of_groups(groups: DataFrame, n_shards: int, crates: int = 256) -> DataFrame:
     """(g, shard) for groups (g, size)."""
     total = groups.agg(F.sum("size")).first()[0] or 0
-    packed = materialise(pack(groups, max(1, total // (n_shards * crates))), "crates")
-    loads = (packed.join(groups, "g").groupBy("part", "bin").agg(F.sum("size").alias("size"))
-             .orderBy(F.desc("size"), "part", "bin").collect())  # bounded, see above
+    placed, final = crates_of_groups(groups, max(1, total // (n_shards * crates)))
+    # at most twice shards x crates are half full or more, and one in PART parts is not
+    loads = final.orderBy(F.desc("size"), "part", "bin").collect()
     shards = fill_shards([r["size"] for r in loads], n_shards)
     dealt = groups.sparkSession.createDataFrame(
         [(r["part"], r["bin"], s) for r, s in zip(loads, shards)], "part bigint, bin bigint, shard int")
-    return packed.join(F.broadcast(dealt), ["part", "bin"]).select("g", "shard")
+    return placed.join(F.broadcast(dealt), ["part", "bin"]).select("g", "shard")
 
 
 def shard_rows(rows: DataFrame, n_shards: int, key: str = "doc_id") -> DataFrame:
