@@ -4,9 +4,9 @@ The components are cut into ``lists`` stretches.  For a query, each stretch is a
 list over all candidates (the partial inner products), and a score is the sum of a
 candidate's entries in all lists.  Lists are held in blocks of candidates.
 
-1. Every block of every list sends its k highest entries for each query, and its lowest.  The
-   entries are completed from the other lists; the k-th highest complete score
-   t is a safe cutoff, as the k-th best score is at least t.
+1. Every block of every list sends its k highest entries for each query, and its lowest.  The 4 k candidates of a
+   query with the highest sums of these are completed from the other lists, so requests don't grow with the number
+   of blocks; the k-th highest complete score t is a safe cutoff, as the k-th best score is at least t.
 2. With f_i the lowest entry of list i, a candidate scoring t or more has an entry of
    f_i + (t - sum f) / lists or more in some list.  This uniform cutoff goes back with the
    queries, and every block sends all entries from it on.
@@ -190,6 +190,9 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, lists: int = 2, id_co
     first = materialise(grid.run(_highest(keep), _ENTRY + ", low bigint"), "highest")
     low = first.groupBy("id", "list").agg(F.min("low").alias("low"))
     pairs = first.groupBy("id", "other").agg(F.sum("part").alias("part"), F.collect_set("list").alias("lists"))
+    # any complete scores make a safe cutoff: those of the pairs with the highest sums so far
+    leading = Window.partitionBy("id").orderBy(F.desc("part"), "other")
+    pairs = pairs.withColumn("n", F.row_number().over(leading)).where(F.col("n") <= 4 * keep).drop("n")
     known = _complete(grid, pairs, "known")
     place = Window.partitionBy("id").orderBy(F.desc("score"), "other")
     safe = (known.withColumn("n", F.row_number().over(place)).where(F.col("n") == keep)
