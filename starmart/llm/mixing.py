@@ -148,21 +148,28 @@ def sized_documents(docs: DataFrame, id_col: Column | None = None) -> DataFrame:
 
 
 def words_taken(sized: DataFrame, **options) -> DataFrame:
-    """id, source, size, source_size, target, taken: one row per row of ``sized``."""
+    """id, source, size, source_size, target, taken, first_slot, slots: one row per row of ``sized``.
+
+    ``first_slot`` is where in the mix the row appears first, ``slots`` how many slots hold words of it.
+    """
     schedule, idle = mix(sized, **options)
     names = ["id", "source", "size", "source_size", "target"]
-    taken = schedule.groupBy(*names, "start").agg(F.sum("words").alias("taken")).drop("start")
-    return taken.unionByName(idle.select(*names, F.col("words").alias("taken")))
+    # a slot holds words of a row twice where the row's end and its next turn meet in one block
+    each = schedule.groupBy(*names, "start", "slot").agg(F.sum("words").alias("words"))
+    taken = each.groupBy(*names, "start").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"),
+                                              F.count("slot").alias("slots")).drop("start")
+    return taken.unionByName(idle.select(*names, F.col("words").alias("taken"), F.lit(None).cast("long").alias("first_slot"),
+                                         F.lit(0).cast("long").alias("slots")))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every document."""
+    """doc_id, size, source_size, target, taken, first_slot, slots for every document."""
     out = words_taken(sized_documents(docs), **options)
-    return out.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken")
+    return out.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken", "first_slot", "slots")
 
 
-def mixing_sql(cycle: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 42) -> str:
-    """DuckDB SQL of ``mixed_documents``: the documents' stretches against the target, in closed form."""
+def mixing_sql(cycle: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 42, block_words: int = 256) -> str:
+    """DuckDB SQL of ``mixed_documents``: words taken in closed form, and the slots of a document's blocks."""
     weights = ", ".join(map(str, cycle))
     return f"""
 WITH sized AS (
@@ -190,12 +197,33 @@ targets AS (
                COALESCE((SELECT left_over FROM level) * weight / (SELECT weights FROM level),
                         CAST({most} * source_size AS DOUBLE))) AS target
   FROM sums),
-laid AS (
-  SELECT s.doc_id, s.source, s.size, t.source_size, t.target, CAST(FLOOR(t.target + 0.5) AS BIGINT) AS take,
+laid AS MATERIALIZED (
+  SELECT ROW_NUMBER() OVER () AS r, s.doc_id, s.source, s.size, t.source_size, t.target, CAST(FLOOR(t.target + 0.5) AS BIGINT) AS take,
          CAST(SUM(s.size) OVER (PARTITION BY s.source ORDER BY md5('{seed}:' || CAST(s.doc_id AS VARCHAR)), s.doc_id, s.size
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - s.size AS BIGINT) AS begun
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+meant AS (
+  SELECT source, source_size, CAST(FLOOR(target + 0.5) AS BIGINT) AS take,
+         CAST(CEIL(FLOOR(target + 0.5) / {block_words}) AS BIGINT) AS n,
+         CAST(SUM(CEIL(FLOOR(target + 0.5) / {block_words})) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+              - CEIL(FLOOR(target + 0.5) / {block_words}) AS BIGINT) AS begun
+  FROM targets),
+bits AS (SELECT CASE WHEN SUM(n) > 1 THEN LENGTH(BIN(CAST(SUM(n) - 1 AS BIGINT))) ELSE 0 END AS m FROM meant),
+points AS (SELECT source, UNNEST(RANGE(begun, begun + n)) AS point FROM meant),
+slots AS (
+  SELECT source, slot, ROW_NUMBER() OVER (PARTITION BY source ORDER BY slot) - 1 AS block
+  FROM (SELECT source, CAST(COALESCE(LIST_SUM(LIST_TRANSFORM(RANGE(m), lambda i: ((point >> i) & 1) << (m - 1 - i))), 0) AS BIGINT) AS slot
+        FROM points, bits)),
+turns AS (
+  SELECT *, UNNEST(RANGE(0, CAST(GREATEST(0, (take - begun - 1) // source_size) AS BIGINT) + 1)) AS turn
+  FROM laid WHERE size > 0 AND begun < take),
+held AS (
+  SELECT r, MIN(slot) AS first_slot, COUNT(DISTINCT slot) AS slots
+  FROM (SELECT r, source, UNNEST(RANGE((begun + turn * source_size) // {block_words},
+               (LEAST(begun + turn * source_size + size, take) - 1) // {block_words} + 1)) AS block FROM turns) t
+  JOIN slots s ON t.source IS NOT DISTINCT FROM s.source AND t.block = s.block GROUP BY r)
 SELECT doc_id, source, size, source_size, target,
        CASE WHEN source_size = 0 THEN 0 ELSE CAST((take // source_size) * size
-         + GREATEST(0, LEAST(size, take % source_size - begun)) AS BIGINT) END AS taken
-FROM laid"""
+         + GREATEST(0, LEAST(size, take % source_size - begun)) AS BIGINT) END AS taken,
+       first_slot, CAST(COALESCE(slots, 0) AS BIGINT) AS slots
+FROM laid LEFT JOIN held USING (r)"""
