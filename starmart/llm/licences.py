@@ -16,16 +16,22 @@ of ``TEMPLATES`` and an ``unknown`` class apart, for every line of every documen
   subsequence must cover ``min_similarity`` of the template's words, or, for lines of at least 12
   words, of the line's own words (a part of a long licence text).
 
+* Notices that run over several lines: the words of each paragraph (a run of non-blank lines) are classified in
+  windows that hold the longest template, overlapping by half. A window called known is confirmed if the common
+  subsequence covers ``min_similarity`` of a template's words within a stretch of lines that isn't
+  much longer than the template; the stretch is cut down to the lines that matter.
+
 A line without any weighted n-gram has the class ``unknown``.  Every weighted n-gram is filed under
 its rarest word, so a document is looked at line by line only if it holds such a word: nothing is skipped
 that could be found.
 
-Result: one row for each line that is called known, with its family (``unknown`` if no template confirms it).
+Result: one row for each line that is called known, with its family (``unknown`` if no template confirms it), and one for
+each confirmed stretch of two and more lines: its first line and their number.
 
 Defined results: null and empty texts and empty lines have no rows; repeated rows
 give repeated rows; a null id is kept; an empty table gives an empty result (the fit then has
 no corpus lines); extra columns are ignored; ties between families go to the first in
-alphabetical order.
+alphabetical order; texts are processed whole, paragraphs of any length by windows.
 """
 
 from __future__ import annotations
@@ -142,9 +148,12 @@ class LicenceModel:
     keys: frozenset                   # the rarest word of every weighted n-gram
     min_similarity: float = 0.8
 
-    def probabilities(self, words: list[bytes]) -> np.ndarray:
+    def scores(self, words: list[bytes]) -> np.ndarray:
         at = sorted({self.index[g] for g in grams(words) if g in self.index})
-        return softmax((self.bias + self.weights[at].sum(axis=0))[None, :] / self.temperature)[0]
+        return (self.bias + self.weights[at].sum(axis=0)) / self.temperature
+
+    def probabilities(self, words: list[bytes]) -> np.ndarray:
+        return softmax(self.scores(words)[None, :])[0]
 
 
 def softmax(scores: np.ndarray) -> np.ndarray:
@@ -152,13 +161,19 @@ def softmax(scores: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def similarity(words: list[bytes], family: str) -> float:
-    """How well the best template of the family covers the line, or the line a part of it."""
-    best = 0.0
+def shares(words: list[bytes], family: str) -> tuple[float, float]:
+    """How much of a template of the family the words hold, and how much of the words a template holds, at best."""
+    held, part = 0.0, 0.0
     for template in _TEMPLATE_WORDS[family]:
         common = lcs(Item(0, template, []).masks(), len(template), words)
-        best = max(best, common / len(template), common / len(words) if len(words) >= 12 else 0.0)
-    return best
+        held, part = max(held, common / len(template)), max(part, common / max(1, len(words)))
+    return held, part
+
+
+def similarity(words: list[bytes], family: str) -> float:
+    """How well the best template of the family covers the line, or the line a part of it."""
+    held, part = shares(words, family)
+    return max(held, part if len(words) >= 12 else 0.0)
 
 
 _TEMPLATE_WORDS = {f: [words_of(t.encode()) for t in ts] for f, ts in TEMPLATES.items()}
@@ -253,11 +268,73 @@ def corpus_lines(docs: DataFrame, sample: int = 3000) -> list[list[bytes]]:
     return [words_of(r["line"].encode()) for r in picked]
 
 
+#: words of a paragraph that are classified together: twice the longest template
+WINDOW = 2 * max(len(t) for ts in _TEMPLATE_WORDS.values() for t in ts)
+
+
+def _stretch(model: LicenceModel, lines: list[list[bytes]], family: str) -> tuple[int, int, float] | None:
+    """(first line, lines, share of the template) of the notice of a family that runs over some of the lines."""
+    best = None
+    for template in _TEMPLATE_WORDS[family]:
+        masks, size = Item(0, template, []).masks(), len(template)
+
+        def common(low, high):
+            return lcs(masks, size, [w for line in lines[low:high] for w in line])
+
+        low, high, whole = 0, len(lines), common(0, len(lines))
+        if whole < model.min_similarity * size or best and whole / size <= best[2]:
+            continue
+        while high - low > 1 and common(low + 1, high) == whole:
+            low += 1
+        while high - low > 1 and common(low, high - 1) == whole:
+            high -= 1
+        if high - low > 1 and sum(map(len, lines[low:high])) <= 1.5 * size + 12:
+            best = low, high - low, whole / size
+    return best
+
+
+def stretches(model: LicenceModel, lines: list[list[bytes]]):
+    """(first line, lines, family, probability, share) of notices over several lines; a line is the list of its words."""
+    found: dict[tuple[int, int, str], tuple[float, float]] = {}
+    start = 0
+    while start < len(lines):
+        end = start
+        while end < len(lines) and lines[end]:
+            end += 1
+        low = start
+        while low < end - 1:  # windows of whole lines, overlapping by half
+            high, words = low, 0
+            while high < end and (words < WINDOW or high < low + 2):
+                words += len(lines[high])
+                high += 1
+            part = [w for line in lines[low:high] for w in line]
+            if not model.keys.isdisjoint(part):
+                p = model.probabilities(part)
+                # a window can hold notices of several families: all that are more likely than unknown
+                score = model.scores(part)
+                for c in np.flatnonzero(score[:-1] > score[-1]).tolist() if 1 - p[-1] >= model.cutoff else ():
+                    family = model.families[c]
+                    hit = _stretch(model, lines[low:high], family)
+                    if hit:
+                        found.setdefault((low + hit[0], hit[1], family), (float(1 - p[-1]), hit[2]))
+            if high == end:
+                break
+            half, moved = 0, low
+            while moved < high - 1 and half < words // 2:
+                half += len(lines[moved])
+                moved += 1
+            low = max(low + 1, moved)
+        start = end + 1
+    for (first, count, family), (probability, share) in sorted(found.items()):
+        yield first, count, family, probability, share
+
+
 def scan(docs: DataFrame, model: LicenceModel) -> DataFrame:
-    """doc_id, line, family, probability, similarity, confirmed of every line called known."""
+    """doc_id, line, lines, family, probability, similarity, confirmed of every line, and of every notice over
+    several lines, called known."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # as large as the templates
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, line bigint, family string, probability double, similarity double, confirmed boolean"
+    schema = f"doc_id {kind}, line bigint, lines bigint, family string, probability double, similarity double, confirmed boolean"
 
     def run(batches):
         model = shared.value
@@ -266,8 +343,8 @@ def scan(docs: DataFrame, model: LicenceModel) -> DataFrame:
             for row, text in enumerate(utf8(batch.column(1))):
                 if not text or model.keys.isdisjoint(words_of(text)):
                     continue
-                for number, line in enumerate(text.split(b"\n")):
-                    words = words_of(line)
+                lines = [words_of(line) for line in text.split(b"\n")]
+                for number, words in enumerate(lines):
                     if model.keys.isdisjoint(words):
                         continue
                     p = model.probabilities(words)
@@ -277,14 +354,19 @@ def scan(docs: DataFrame, model: LicenceModel) -> DataFrame:
                     alike = similarity(words, family)
                     confirmed = alike >= model.min_similarity
                     rows.append(row)
-                    found.append((number, family if confirmed else UNKNOWN, round(float(1 - p[-1]), 6),
+                    found.append((number, 1, family if confirmed else UNKNOWN, round(float(1 - p[-1]), 6),
                                   round(alike, 6), confirmed))
+                for number, count, family, probability, share in stretches(model, lines):
+                    if any(shares(words, family)[0] >= model.min_similarity for words in lines[number:number + count]):
+                        continue  # a line of it holds the notice alone
+                    rows.append(row)
+                    found.append((number, count, family, round(probability, 6), round(share, 6), True))
             if rows:
-                line, family, probability, alike, confirmed = zip(*found)
+                line, count, family, probability, alike, confirmed = zip(*found)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(rows)), pa.array(line, pa.int64()), pa.array(family),
+                    [batch.column(0).take(pa.array(rows)), pa.array(line, pa.int64()), pa.array(count, pa.int64()), pa.array(family),
                      pa.array(probability), pa.array(alike), pa.array(confirmed)],
-                    names=["doc_id", "line", "family", "probability", "similarity", "confirmed"])
+                    names=["doc_id", "line", "lines", "family", "probability", "similarity", "confirmed"])
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

@@ -1,9 +1,10 @@
 import random
+import textwrap
 
 import pytest
 
 from starmart.llm.decontam import words_of
-from starmart.llm.licences import TEMPLATES, UNKNOWN, corpus_lines, fit, licence_scan, scan
+from starmart.llm.licences import TEMPLATES, UNKNOWN, corpus_lines, fit, licence_scan, scan, shares, stretches
 from starmart.llm.queries import op1_license_scan
 
 SCHEMA = "doc_id bigint, text string, family string, line int"
@@ -54,6 +55,52 @@ def test_held_out_accuracy(spark, model):
     assert all(r.line == 1 for r in rows if r.doc_id < 10000)
 
 
+def wrapped(text, width=72):
+    return textwrap.wrap(text, width, break_long_words=False)
+
+
+def test_notices_over_several_lines(spark, model):
+    """Every template wrapped at 72 columns, as a paragraph and inside one, with its first line and extent."""
+    docs, want = [], {}
+    for family, texts in TEMPLATES.items():
+        for text in texts:
+            lines = wrapped(text)
+            for before, after in ((["A line of prose.", ""], ["", "More prose."]), (["Words of a file:"], ["And so on."])):
+                docs.append((len(docs), "\n".join(before + lines + after)))
+                want[len(docs) - 1] = family, len(before), len(lines)
+    rows = rows_of(spark, model, docs)
+    several = {d: w for d, w in want.items() if w[2] > 1}
+    assert len(several) >= 30
+    for d, (family, first, count) in several.items():
+        mine = [r for r in rows if r.doc_id == d and r.confirmed]
+        assert any(r.family == family for r in mine), (d, family)
+        whole = [r for r in mine if r.lines > 1 and r.family == family]
+        assert all(first <= r.line and r.line + r.lines <= first + count + 1 for r in whole)
+    text = dict(docs)
+    for d, (family, first, count) in several.items():  # the extent is known unless a line holds the notice alone
+        alone = any(shares(words_of(x.encode()), family)[0] >= 0.8 for x in text[d].split("\n"))
+        assert alone or any(r.lines > 1 and r.family == family for r in rows if r.doc_id == d), text[d]
+
+
+def test_stretches_against_brute_force(model):
+    """Every run of lines that holds a template, cut to what matters, against the windows' search."""
+    rng = random.Random(3)
+    prose = [[b"p%d" % rng.randint(0, 900) for _ in range(rng.randint(1, 14))] for _ in range(400)]
+    lines, want = [], set()
+    for _ in range(25):
+        family = rng.choice(sorted(TEMPLATES))
+        notice = [words_of(x.encode()) for x in wrapped(rng.choice(TEMPLATES[family]), 60)]
+        lines += rng.sample(prose, rng.randint(0, 9)) + ([[]] if rng.random() < 0.5 else [])
+        if len(notice) > 1:
+            want.add((len(lines), len(notice), b" ".join(w for x in notice for w in x)))
+        lines += notice
+    got = {(first, count): family for first, count, family, *_ in stretches(model, lines)}
+    hit = [w for w in want if any(first <= w[0] + 1 and first + count >= w[0] + w[1] - 1 for first, count in got)]
+    assert len(hit) >= 0.9 * len(want)  # notices that stand side by side share their windows
+    for first, count in got:
+        assert any(first < at + n and at < first + count for at, n, _ in want)
+
+
 def test_edge_cases(spark, model):
     notice = "Released under the MIT License."
     docs = [(1, None), (2, ""), (3, "\n\n" + notice + "\n"), (3, "\n\n" + notice + "\n"), (None, notice),
