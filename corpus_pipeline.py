@@ -46,10 +46,17 @@ def _one_row_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return keyed.join(wanted, names).withColumn("nth", F.row_number().over(first)).where("nth = 1").drop(*names, "nth")
 
 
+def _by_rows(docs: DataFrame, stage) -> DataFrame:
+    """A stage that hands whole rows to Python, for which column names must be plain identifiers."""
+    plain = [c if c in ("doc_id", "text") else f"column_{i}" for i, c in enumerate(docs.columns)]
+    return stage(docs.toDF(*plain)).toDF(*docs.columns)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
     labels = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
-    return quality.select_good(docs, quality.train(docs, labels))
+    model = quality.train(docs, labels)
+    return _by_rows(docs, lambda rows: quality.select_good(rows, model))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +69,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    return decontam.clean(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+    items = read_table(spark, sf_dir, "benchmark", "item_id", "text")
+    return _by_rows(docs, lambda rows: decontam.clean(rows, items))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
