@@ -87,4 +87,4 @@ def test_edge_cases(spark):
 def test_hot_source(spark):
     rows = [(i, "w " * (i % 37), "hot" if i % 3 else f"s{i % 50}", None) for i in range(3000)]
     frame = pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows], "source": [r[2] for r in rows]})
-    assert_same(mixed_documents(docs_of(spark, rows), block_words=8), mixing_sql(), documents=frame)
+    assert_same(mixed_documents(docs_of(spark, rows), block_words=8), mixing_sql(block_words=8), documents=frame)
