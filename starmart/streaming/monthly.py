@@ -2,18 +2,20 @@
 
 * A stateful step (``applyInPandasWithState``) keeps the present version of every encounter: its month, type and
   patient.  An event that changes them takes the old place back (-1) and adds the new one (+1), so a correction
-  that moves an encounter between months touches both; an event delivered again changes nothing.
+  that moves an encounter between months touches both; an event delivered again changes nothing.  Encounters share
+  ``BUCKETS`` states by the hash of their id, so a batch costs as many Python calls at most, not one an encounter.
 * ``foreachBatch`` sums the deltas by (month, type, patient) and adds them to the counts ``visits``, of the touched
   months only; the monthly table of these months is made anew from them.  Counts by patient merge by
   addition, also downwards, which a distinct count alone can't.  Both tables switch with the batch number in one
   snapshot, so a batch that is run again counts once.
 
-So the work of a batch follows the batch and the months it touches, not the history.  As in ``feed``, the
+So the work of a batch follows the batch, the states and the months it touches, not the history.  As in ``feed``, the
 last batch wins; within a batch the latest event time, then the larger hash.  Rows without an id are left out.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -36,22 +38,39 @@ MONTHLY = T.StructType([T.StructField("encounter_month", T.IntegerType()), T.Str
 PLACE = VISITS.fieldNames()[:3]
 
 
+#: states that the encounters are dealt to; a checkpoint is bound to it
+BUCKETS = 4096
+#: the places of the encounters of a state
+HELD = T.StructType([T.StructField("encounter_id", T.ArrayType(T.LongType())),
+                     *[T.StructField(f.name, T.ArrayType(f.dataType)) for f in VISITS.fields[:3]]])
+
+
 def moves(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The deltas of one encounter: -1 at its old place, +1 at its new one."""
-    best = None
+    """The deltas of the encounters of one state: -1 at an old place, +1 at a new one."""
+    best: dict[int, tuple] = {}
     for part in rows:
-        ordered = part.sort_values(["known", "at", "tie"], kind="stable").iloc[-1]
-        rank = (bool(ordered["known"]), int(ordered["at"]), int(ordered["tie"]))
-        if best is None or rank > best[0]:
-            best = rank, tuple(None if pd.isna(ordered[c]) else ordered[c] for c in ("encounter_month", "encounter_type", "patient_id"))
-    place = tuple(int(x) if x is not None and i != 1 else x for i, x in enumerate(best[1]))
-    old = tuple(state.get) if state.exists else None
-    if old == place:
-        return
-    state.update(place)
-    out = [(*p, n) for p, n in ((old, -1), (place, 1)) if p is not None]
-    frame = pd.DataFrame(out, columns=VISITS.fieldNames())
-    yield frame.astype({"encounter_month": "Int32", "patient_id": "Int64"})
+        columns = ("encounter_id", *PLACE, "has_patient", "known", "at", "tie")
+        for i, month, kind, patient, has_patient, *rank in zip(*(part[c].tolist() for c in columns)):
+            if i not in best or rank > best[i][0]:
+                best[i] = rank, (month if rank[0] else None, kind, patient if has_patient else None)
+    held = {}
+    if state.exists:
+        ids, *places = state.get
+        held = dict(zip(ids, zip(*places)))
+    deltas: Counter = Counter()
+    moved = False
+    for i, (_, place) in best.items():
+        old = held.get(i)
+        if old != place:
+            moved, held[i] = True, place
+            deltas[place] += 1
+            if old is not None:
+                deltas[old] -= 1
+    if moved:
+        state.update((list(held), *map(list, zip(*held.values()))))
+        out = [(*p, n) for p, n in deltas.items() if n]
+        yield pd.DataFrame({f.name: pd.array(list(c), dtype=kind) for f, c, kind in zip(
+            VISITS.fields, zip(*out) if out else [()] * 4, ("Int32", "object", "Int64", "Int64"))})
 
 
 class MonthlyFeed:
@@ -64,12 +83,15 @@ class MonthlyFeed:
         raw = ST.encounter_rows(self.spark.readStream.schema(schemas.RAW["events"]).parquet(f"{self.folder}/*"))
         rows = ST.fact_rows(raw).where(F.col("encounter_id").isNotNull())
         others = [c for c in rows.columns if c != "encounter_id"]
-        ranked = rows.select("encounter_id", *PLACE,
+        ranked = rows.select(F.pmod(F.xxhash64("encounter_id"), F.lit(BUCKETS)).alias("bucket"), "encounter_id",
+                             # no nulls among the integers, which pandas would make floats
+                             F.coalesce("encounter_month", F.lit(0)).alias("encounter_month"), "encounter_type",
+                             F.coalesce("patient_id", F.lit(0)).alias("patient_id"),
+                             F.col("patient_id").isNotNull().alias("has_patient"),
                              F.col("encounter_time").isNotNull().alias("known"),
                              F.coalesce(F.unix_micros(F.col("encounter_time").cast("timestamp")), F.lit(0)).alias("at"),
                              F.xxhash64(*others).alias("tie"))
-        return ranked.groupBy("encounter_id").applyInPandasWithState(
-            moves, VISITS, T.StructType(VISITS.fields[:3]), "append", GroupStateTimeout.NoTimeout)
+        return ranked.groupBy("bucket").applyInPandasWithState(moves, VISITS, HELD, "append", GroupStateTimeout.NoTimeout)
 
     def run(self) -> None:
         """Count what has arrived and stop; the next run goes on from there."""

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from starmart.session import fresh_path
 from starmart.sources.snapshots import Snapshot
 from starmart.sources.store import materialize, write_table
 from starmart.streaming.mart_feed import EVENT, MartFeed
-from starmart.streaming.monthly import MonthlyFeed
+from starmart.streaming.monthly import MonthlyFeed, moves
 
 DAY = dt.date(2024, 5, 12)
 TS = dt.datetime
@@ -119,3 +120,33 @@ def test_monthly_deltas_equal_recomputation(spark):
     before = feed.log.current()
     feed.on_batch(spark.createDataFrame([(202401, "a", 1, 1)], "encounter_month int, encounter_type string, patient_id bigint, n bigint"), 1)
     assert feed.log.current() == before
+
+
+class Held:
+    """A state as ``moves`` uses it."""
+    exists, get = False, None
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+
+def test_a_state_holds_many_encounters():
+    columns = ["encounter_id", "encounter_month", "encounter_type", "patient_id", "has_patient", "known", "at", "tie"]
+    part = lambda *rows: pd.DataFrame(rows, columns=columns)
+    deltas = lambda state, *parts: sorted(
+        tuple(None if pd.isna(x) else x for x in r) for f in moves((0,), iter(parts), state) for r in f.itertuples(index=False))
+    state = Held()
+    assert deltas(state, part((1, 202401, "a", 10, True, True, 5, 1), (2, 202401, "a", 10, True, True, 5, 1)),
+                  part((2, 202402, "b", 0, False, True, 6, 1), (1, 202403, "a", 10, True, True, 4, 9))) == [
+        (202401, "a", 10, 1), (202402, "b", None, 1)]
+    assert deltas(state, part((1, 202401, "a", 10, True, True, 5, 1))) == []
+    assert deltas(state, part((2, 202401, "a", 10, True, True, 7, 1), (3, 202401, "a", 10, True, True, 7, 1))) == [
+        (202401, "a", 10, 2), (202402, "b", None, -1)]
+
+
+def test_patients_beyond_doubles_stay_apart(spark):
+    feed, jan = MonthlyFeed(spark, fresh_path(spark, "month_feed")), TS(2024, 1, 5)
+    users = [2 ** 53, 2 ** 53 + 1, None]
+    write_table(spark.createDataFrame([(i, jan, u, "a", 1.0, None) for i, u in enumerate(users)], EVENTS).coalesce(1), f"{feed.folder}/0")
+    feed.run()
+    assert [(r.total_encounters, r.unique_patients) for r in feed.table().collect()] == [(3, 2)]
