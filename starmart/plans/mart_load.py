@@ -160,7 +160,7 @@ class MartLoad:
         before = materialize(self.stored(base, FACT).join(changed, "encounter_id", "left_semi")
                              .select("encounter_id", "encounter_key", month_of("admission_date_key").alias("_month")), "before")
         ids = changed.where("change <> 'removed'").select("encounter_id")
-        part = R.with_encounters(src, src["encounters"].join(ids, "encounter_id", "left_semi"))
+        part = R.with_encounters(src, materialize(src["encounters"].join(ids, "encounter_id", "left_semi"), "changed_encounters"))
         rows = FB.fact_rows(part, dims).join(digests, "encounter_id")
         rows = materialize(rows.join(before.select("encounter_id", F.col("encounter_key").alias("_key")), "encounter_id", "left"),
                            "changed_rows")

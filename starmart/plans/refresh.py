@@ -91,7 +91,8 @@ def recompute(fact: DataFrame, src: dict[str, DataFrame], dims: dict[str, DataFr
     (those without an admission date too), the others keep their key, and new ones
     get keys after the maximum.  An encounter of ``ids`` that is gone from the sources is carried.
     """
-    encounters = src["encounters"].join(ids.select("encounter_id").distinct(), "encounter_id", "left_semi")
+    # written once: claims, links, lookups and the carried rows all read it
+    encounters = materialize(src["encounters"].join(ids.select("encounter_id").distinct(), "encounter_id", "left_semi"), "r_encounters")
     done = encounters.select("encounter_id")
     carried = fact.join(done, "encounter_id", "left_anti")
     old = fact.select(F.col("encounter_id").alias("_id"), F.col("encounter_key").alias("_key"))
@@ -248,7 +249,7 @@ def daily_refresh(mart: dict[str, DataFrame], src: dict[str, DataFrame], run_dat
         ids = ids.unionByName(src["encounters"].join(patient_changes.select("patient_id").distinct(), "patient_id", "left_semi")
                               .select("encounter_id"))
     ids = materialize(ids.distinct(), "r_ids")
-    touched = src["encounters"].join(ids, "encounter_id", "left_semi")
+    touched = materialize(src["encounters"].join(ids, "encounter_id", "left_semi"), "r_touched")
     m["dim_patient"] = materialize(U.placeholders(m["dim_patient"], touched, "patient_id", "patient_key",
                                                   {"current_flag": F.lit(True)}), "r_dim_patient")
     days = touched.select(F.to_date("encounter_date").alias("full_date")).unionByName(

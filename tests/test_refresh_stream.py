@@ -6,6 +6,7 @@ from conftest import SF_SMALL
 from starmart.plans import catalog, refresh as R
 from starmart.sources.generate import generate_sources
 from starmart.plans.fact import build_all
+from starmart.sources.store import materialize
 from starmart.streaming import feed
 
 
@@ -81,3 +82,14 @@ def test_late_window_on_month_partitions(spark):
         if r.admission_date_key >= start:
             assert r.total_claim_amount == full[r.encounter_id].total_claim_amount
         assert r.encounter_key == full[r.encounter_id].encounter_key
+
+
+def test_recompute_finds_its_encounters_once(spark, monkeypatch):
+    src, m = catalog.sources(spark, SF_SMALL), catalog.mart(spark, SF_SMALL)
+    made = {}
+    monkeypatch.setattr(R, "materialize", lambda df, label, *a: made.setdefault(label, df) and materialize(df, label, *a))
+    R.incremental_fact_load(m["fact_encounters"].where("encounter_id % 5 <> 0"), src, m)
+    leaves = made["r_rows"]._jdf.queryExecution().optimizedPlan().collectLeaves()
+    reads = [leaves.apply(i).output().toString() for i in range(leaves.size())]
+    # the stored fact is read for its keys, not once more for each table that is cut to the encounters
+    assert sum("encounter_key" in r for r in reads) == 1
