@@ -111,13 +111,15 @@ class Encoder:
         """The ids of texts that end behind some parts, and those of what follows the last one."""
         split = pc.ascii_split_whitespace(pa.array(parts, pa.large_string()))
         coded = split.flatten().dictionary_encode()
-        known = list(map(self.words.__getitem__, coded.dictionary.to_pylist()))
+        known = list(map(self.words.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist()))
         sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
         first, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(known), "<u4")
         codes = coded.indices.to_numpy(zero_copy_only=False)
         counts = sizes[codes]
         begin = np.concatenate([[0], np.cumsum(counts)])
-        ids = flat[np.repeat(first[codes] - begin[:-1], counts) + np.arange(begin[-1])]
+        at = np.repeat(first[codes] - begin[:-1], counts)
+        at += np.arange(begin[-1])
+        ids = flat.take(at)
         words = split.offsets.to_numpy() - split.offsets[0].as_py()
         cuts = begin[words[[0, *ends, len(parts)]]]
         return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
@@ -125,7 +127,10 @@ class Encoder:
     def _word(self, text: str) -> bytes:
         if "<|" in text or not _PLAIN.fullmatch(text):
             return self._whole(text)
-        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
+        found = _PIECES.findall(text.lower())
+        if len(found) == 1:
+            return self.pieces[found[0]]
+        return b"".join([self.pieces[piece] for piece in found])
 
     def _piece(self, piece: str) -> bytes:
         if not piece.isascii():
