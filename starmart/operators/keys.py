@@ -12,8 +12,9 @@ unique, but computed in parallel:
    and positions are fixed (the range bounds come from sampling) and a lost
    executor re-reads instead of re-sampling;
 4. count rows per partition, from the tag column alone.  That table has one row per partition
-   (bounded by the partition count, not by the data): it comes to the driver, becomes
-   an offsets table and is broadcast, a size bound that holds at any volume.
+   (bounded by the partition count, not by the data): it comes to the driver and becomes an array
+   of offsets in the plan, a size bound that holds at any volume.  The keyed rows are a projection of the
+   written ones, so they need not be written again to cut their lineage.
 
 ``sequence_within`` gives ``row_number() OVER (PARTITION BY g ORDER BY o)``
 the same way: a global key over (g, o) minus the first key of the group.
@@ -33,23 +34,19 @@ _LOW_BITS = (1 << 33) - 1
 def assign_dense_key(df: DataFrame, order_cols: list[str], key_col: str,
                      num_partitions: int | None = None) -> DataFrame:
     """Add ``key_col`` (BIGINT, 1..n) in the order of ``order_cols``."""
-    spark = df.sparkSession
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     tagged = materialize(ranged.sortWithinPartitions(*order)
                                .withColumn("_sm_mid", F.monotonically_increasing_id()), "keys")
     pid = F.shiftright("_sm_mid", 33)
     counts = sorted((r[0], r[1]) for r in tagged.groupBy(pid.alias("p")).count().collect())
-    offsets, running = {}, 0
+    offsets, running = [0] * (counts[-1][0] + 1 if counts else 1), 0
     for p, c in counts:
         offsets[p] = running
         running += c
-    off = spark.createDataFrame(list(offsets.items()) or [(0, 0)], "_sm_pid bigint, _sm_off bigint")
-    return (tagged.withColumn("_sm_pid", pid)
-                  .join(F.broadcast(off), "_sm_pid")
-                  .withColumn(key_col, (F.col("_sm_off") + F.col("_sm_mid").bitwiseAND(F.lit(_LOW_BITS)) + 1)
-                              .cast("bigint"))
-                  .drop("_sm_mid", "_sm_pid", "_sm_off"))
+    before = F.get(F.array(*[F.lit(n).cast("bigint") for n in offsets]), pid.cast("int"))
+    return (tagged.withColumn(key_col, (before + F.col("_sm_mid").bitwiseAND(F.lit(_LOW_BITS)) + 1).cast("bigint"))
+                  .drop("_sm_mid"))
 
 
 def sequence_within(df: DataFrame, group_cols: list[str], order_cols: list[str], seq_col: str,
