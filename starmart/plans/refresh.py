@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import upsert as U
 from ..sources.store import materialize, read_table
+from ..sources.tables import Tables, replaced
 from ..session import fresh_path
 from . import dims as D
 from . import fact as FB
@@ -51,14 +52,12 @@ def marks(src: dict[str, DataFrame], window_days: int = LATE_WINDOW_DAYS) -> Mar
     return Marks(cutoff, r["r"], cutoff - _dt.timedelta(days=window_days))
 
 
-def with_encounters(src: dict[str, DataFrame], encounters: DataFrame) -> dict[str, DataFrame]:
+def with_encounters(src: dict[str, DataFrame], encounters: DataFrame) -> Tables:
     """Source dict restricted to ``encounters`` and their junction / billing rows (semi joins)."""
-    d = dict(src)
-    d["encounters"] = encounters
     ids = encounters.select("encounter_id")
-    for t in ("encounter_diagnoses", "encounter_procedures", "billing"):
-        d[t] = src[t].join(ids, "encounter_id", "left_semi")
-    return d
+    return replaced(src, {"encounters": lambda: encounters} | {
+        t: (lambda t=t: src[t].join(ids, "encounter_id", "left_semi"))
+        for t in ("encounter_diagnoses", "encounter_procedures", "billing")})
 
 
 def split_encounters(src: dict[str, DataFrame], cutoff: _dt.date) -> tuple[dict, dict]:
@@ -191,7 +190,7 @@ def late_window_refresh(src, mart) -> DataFrame:
     """Registered T4: the fact was loaded when only claims dated before the cutoff had
     arrived; the refresh brings the late claims of the window in."""
     mk = marks(src)
-    early = dict(src)
+    early = replaced(src, {})
     early["billing"] = src["billing"].where(F.col("claim_date") < F.lit(mk.cutoff))
     spark = src["encounters"].sparkSession
     layout = FB.declared_layout(spark)

@@ -3,44 +3,45 @@
 A report is one ``spark.sql`` call: the plan is parsed and analysed once in
 the JVM instead of step by step through the Python bridge, and the SQL text
 reads like the reference's queries.  Each table dict gets its own view names
-(one registration per dict), so several loads can live in one session.
+(one registration per dict and table), so several loads can live in one session; only the tables
+that a text names are asked for.
 """
 
 from __future__ import annotations
 
 import threading
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-_LOCK = threading.Lock()
-_VIEWS: dict[int, tuple[dict, dict[str, str]]] = {}
+_LOCK = threading.RLock()
+_VIEWS: dict[int, tuple[Mapping[str, DataFrame], dict[str, str]]] = {}
 
 
-def views(tables: dict[str, DataFrame]) -> dict[str, str]:
-    """Table name -> temp view name, registering the views on first use."""
+def view(tables: Mapping[str, DataFrame], name: str) -> str:
+    """The temp view of a table, registered on first use."""
     with _LOCK:
         hit = _VIEWS.get(id(tables))
-        if hit is not None and hit[0] is tables:
-            return hit[1]
-        tag = uuid.uuid4().hex[:8]
-        names = {}
-        for name, df in tables.items():
-            if isinstance(df, DataFrame):
-                names[name] = f"sm_{name}_{tag}"
-                df.createOrReplaceTempView(names[name])
-        _VIEWS[id(tables)] = (tables, names)
-        return names
-
-
-def render(tables: dict[str, DataFrame], text: str) -> str:
+        if hit is None or hit[0] is not tables:
+            hit = _VIEWS[id(tables)] = (tables, {})
+        names = hit[1]
+        if name not in names:
+            made = f"sm_{name}_{uuid.uuid4().hex[:8]}"
+            tables[name].createOrReplaceTempView(made)
+            names[name] = made
+        return names[name]
+
+
+def render(tables: Mapping[str, DataFrame], text: str) -> str:
     """``text`` with each ``{table}`` placeholder replaced by its view name
     (other braces, e.g. in regular expressions, are left alone)."""
-    for name, view in views(tables).items():
-        text = text.replace("{" + name + "}", view)
+    for name in tables:
+        if "{" + name + "}" in text:
+            text = text.replace("{" + name + "}", view(tables, name))
     return text
 
 
-def sql(tables: dict[str, DataFrame], text: str) -> DataFrame:
-    spark = next(df for df in tables.values() if isinstance(df, DataFrame)).sparkSession
-    return spark.sql(render(tables, text))
+def sql(tables: Mapping[str, DataFrame], text: str) -> DataFrame:
+    named = next(name for name in tables if "{" + name + "}" in text)
+    return tables[named].sparkSession.sql(render(tables, text))

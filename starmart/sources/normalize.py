@@ -9,11 +9,14 @@ they are, so the K7 check still reports them.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..schemas import ENCOUNTER_TYPES
+from .tables import Tables, replaced
 
 
 def canonical_type(c: Column) -> Column:
@@ -24,11 +27,9 @@ def canonical_type(c: Column) -> Column:
     return out.otherwise(c)
 
 
-def normalize_sources(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    out = dict(src)
-    e = src["encounters"]
-    out["encounters"] = e.withColumn("encounter_type", canonical_type(F.col("encounter_type")))
-    return out
+def normalize_sources(src: Mapping[str, DataFrame]) -> Tables:
+    return replaced(src, {"encounters": lambda: src["encounters"].withColumn(
+        "encounter_type", canonical_type(F.col("encounter_type")))})
 
 
 def read_sources(spark, folder: str, fmt: str = "parquet", **options) -> dict[str, DataFrame]:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.keys import sequence_within
+from .tables import Tables
 
 # Fixed values of the mapping (also used by the oracle text).
 BIRTH_BASE = _dt.date(1920, 1, 1)
@@ -36,8 +37,8 @@ def _encounter_type(status):
     return e
 
 
-def stage_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Lazy frames of the ten source tables (diagnosis sequence needs one checkpoint)."""
+def stage_sources(spark: SparkSession, sf_dir: str) -> Tables:
+    """Lazy frames of the ten source tables (the diagnosis sequence has one checkpoint, made when it is asked for)."""
     r = lambda n: read_raw(spark, sf_dir, n)
     nation, region, supplier = r("nation"), r("region"), r("supplier")
     customer, part, orders, lineitem = r("customer"), r("part"), r("orders"), r("lineitem")
@@ -99,7 +100,7 @@ def stage_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     pairs = (lineitem.select(F.col("l_orderkey").alias("encounter_id"), F.col("l_partkey").alias("diagnosis_id"))
              .distinct())
-    encounter_diagnoses = sequence_within(pairs, ["encounter_id"], ["diagnosis_id"], "diagnosis_sequence")
+    encounter_diagnoses = lambda: sequence_within(pairs, ["encounter_id"], ["diagnosis_id"], "diagnosis_sequence")
 
     part_brand = part.select(F.col("p_partkey"), brand_no.alias("procedure_id"))
     order_day = orders.select(F.col("o_orderkey"), F.to_date("o_orderdate").alias("procedure_date"))
@@ -120,8 +121,8 @@ def stage_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(F.col("l_linestatus") == "F", "Paid").otherwise("Submitted").alias("claim_status"))
 
     out = dict(specialties=specialties, departments=departments, providers=providers,
-               patients=patients, encounters=encounters, diagnoses=diagnoses,
-               encounter_diagnoses=encounter_diagnoses, procedures=procedures,
+               patients=patients, encounters=encounters, diagnoses=diagnoses, procedures=procedures,
                encounter_procedures=encounter_procedures, billing=billing)
+    makers = {k: (lambda v=v: v) for k, v in out.items()} | {"encounter_diagnoses": encounter_diagnoses}
     from .normalize import normalize_sources
-    return normalize_sources({k: schemas.conform(v, schemas.SOURCE[k]) for k, v in out.items()})
+    return normalize_sources(Tables({k: (lambda k=k: schemas.conform(makers[k](), schemas.SOURCE[k])) for k in makers}))
