@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators import digest as G
 from ..operators import upsert as U
+from ..operators.keys import assign_dense_key
 from ..session import fresh_path
 from ..sources.normalize import normalize_sources
 from ..sources.snapshots import Snapshot, Snapshots
@@ -86,18 +87,28 @@ class MartLoad:
         """Everything anew, as the next snapshot."""
         src = normalize_sources(src)
         base = self.log.current()
-        m = FB.build_all(src, run_date)
-        files = {t: self.log.write(m[t], t) for t in DIMS}
-        fact = m[FACT].join(dated(encounter_digests(src), run_date), "encounter_id")
-        files[FACT] = self._write_fact(fact)
-        months = m[FACT].select("encounter_key", month_of("admission_date_key").alias("_month"))
-        for bridge in (DIAGNOSES, PROCEDURES):
-            files[bridge] = self._write_bridge(m[bridge].join(months, "encounter_key", "left"), bridge)
+        built = FB.mart_tables(src, run_date, store=False)  # keyed rows are written by their key step
+        files = {t: self.log.write(built[t], t) for t in DIMS}
+        m = {t: self.log.table(Snapshot(0, files), t, schemas.MART[t]) for t in DIMS}
+        # digests join the rows before these get their keys: both lie by encounter there
+        rows = FB.fact_rows(src, m).join(dated(encounter_digests(src), run_date), "encounter_id", "left")
+        m[FACT] = schemas.conform(assign_dense_key(rows, ["encounter_id"], "encounter_key"), STORED_FACT)
+        files[FACT] = self._write_fact(m[FACT].where("encounter_id IS NOT NULL"))
+        keys = m[FACT].select("encounter_id", "encounter_key", month_of("admission_date_key").alias("_month"))
+        for bridge, links, order in self._links(src, keys, m):
+            m[bridge] = assign_dense_key(links, order, "bridge_id")
+            files[bridge] = self._write_bridge(m[bridge], bridge)
         notes = {f"extract:{t}": G.table_digest(attributes(t, src, m, run_date)) for t in R.UPSERTS}
         notes |= {"encounter_key": str(U.max_key(m[FACT], "encounter_key")), "mark": run_date.isoformat(),
                   **{b: str(U.max_key(m[b], "bridge_id")) for b in (DIAGNOSES, PROCEDURES)}}
         return self.log.commit(base, files, notes)
 
+    @staticmethod
+    def _links(src: dict[str, DataFrame], keys: DataFrame, dims: dict[str, DataFrame]):
+        """Both bridges: (name, links with their encounter's month, order); ``keys``: encounter_id, encounter_key, _month."""
+        yield DIAGNOSES, FB.bridge_diagnosis_rows(src, keys, dims["dim_diagnosis"], ("_month",)), FB.DIAGNOSIS_ORDER
+        yield PROCEDURES, FB.bridge_procedure_rows(src, keys, dims["dim_procedure"], ("_month",)), FB.PROCEDURE_ORDER
+
     def _write_fact(self, rows: DataFrame) -> dict[int | None, str]:
         rows = schemas.conform(rows, STORED_FACT)
         return self.log.write_periods(rows, FACT, month_of("admission_date_key"), ["encounter_key"])
@@ -167,7 +178,7 @@ class MartLoad:
         top = int(base.notes["encounter_key"])
         fresh = U.with_new_keys(rows.where(F.col("_key").isNull()).drop("_key"), ["encounter_id"], "encounter_key", top)
         known = rows.where(F.col("_key").isNotNull()).withColumnRenamed("_key", "encounter_key")
-        after = materialize(schemas.conform(known, STORED_FACT).unionAll(schemas.conform(fresh, STORED_FACT)), "after")
+        after = schemas.conform(known, STORED_FACT).unionAll(schemas.conform(fresh, STORED_FACT))  # both read written rows
         new_months = after.select("encounter_key", "encounter_id", month_of("admission_date_key").alias("_month"))
         # months that lose or gain a row: as many as the calendar has, at most
         months = {r["_month"] or 0 for r in before.select("_month").unionAll(new_months.select("_month")).distinct().collect()}
@@ -178,17 +189,13 @@ class MartLoad:
         files, notes = {}, {"encounter_key": str(max(top, U.max_key(after, "encounter_key")))}
         others = self.stored(base, FACT, months).join(changed, "encounter_id", "left_anti")
         files[FACT] = kept(FACT) | self._write_fact(others.select(*STORED_FACT.fieldNames()).unionAll(after))
-        of_month = self.stored(base, FACT, months).select("encounter_key", month_of("admission_date_key").alias("_month"))
-        for name, links, order in (
-                (DIAGNOSES, FB.bridge_diagnosis_rows(part, new_months, dims["dim_diagnosis"]),
-                 ["encounter_key", "diagnosis_sequence", "diagnosis_key"]),
-                (PROCEDURES, FB.bridge_procedure_rows(part, new_months, dims["dim_procedure"]), ["encounter_key", "procedure_key"])):
-            held = (self.stored(base, name, months).join(before, "encounter_key", "left_anti")
-                    .join(of_month, "encounter_key", "left"))
-            made = materialize(U.with_new_keys(links, order, "bridge_id", int(base.notes[name])), "links")
+        for name, links, order in self._links(part, new_months, dims):
+            # a link lies in the month of its encounter, so its folder tells the month
+            held = (self.log.table_with_period(base, name, schemas.MART[name], "_month", months)
+                    .join(before.select("encounter_key"), "encounter_key", "left_anti"))
+            made = U.with_new_keys(links, order, "bridge_id", int(base.notes[name]))
             cols = [*schemas.MART[name].fieldNames(), "_month"]
-            made_of_month = made.join(new_months.select("encounter_key", "_month"), "encounter_key")
-            files[name] = kept(name) | self._write_bridge(held.select(*cols).unionAll(made_of_month.select(*cols)), name)
+            files[name] = kept(name) | self._write_bridge(held.select(*cols).unionAll(made.select(*cols)), name)
             notes[name] = str(max(int(base.notes[name]), U.max_key(made, "bridge_id")))
         return files, notes
 
@@ -219,8 +226,7 @@ def refreshed(spark: SparkSession, sf_dir: str, src: dict[str, DataFrame]) -> tu
     if key not in _DONE:
         mk = R.marks(src)
         load = MartLoad(spark)
-        before = load.full_load({t: materialize(df, f"old_{t}") if t in ("encounters", *CHILDREN) else df
-                                 for t, df in earlier_extract(src).items()}, mk.cutoff)
+        before = load.full_load(earlier_extract(src), mk.cutoff)
         _DONE[key] = load, before, load.refresh(src, mk.run_date)
     return _DONE[key]
 

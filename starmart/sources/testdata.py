@@ -98,9 +98,8 @@ def stage_sources(spark: SparkSession, sf_dir: str) -> Tables:
                           F.lpad(((brand_no * CPT_MULT) % 100000).cast("string"), 5, "0").alias("cpt_code"),
                           F.concat(F.lit("Procedure "), F.col("p_brand")).alias("cpt_description")))
 
-    pairs = (lineitem.select(F.col("l_orderkey").alias("encounter_id"), F.col("l_partkey").alias("diagnosis_id"))
-             .distinct())
-    encounter_diagnoses = lambda: sequence_within(pairs, ["encounter_id"], ["diagnosis_id"], "diagnosis_sequence")
+    pairs = lineitem.select(F.col("l_orderkey").alias("encounter_id"), F.col("l_partkey").alias("diagnosis_id"))
+    encounter_diagnoses = lambda: sequence_within(pairs, ["encounter_id"], ["diagnosis_id"], "diagnosis_sequence", distinct=True)
 
     part_brand = part.select(F.col("p_partkey"), brand_no.alias("procedure_id"))
     order_day = orders.select(F.col("o_orderkey"), F.to_date("o_orderdate").alias("procedure_date"))
