@@ -189,13 +189,14 @@ class MartLoad:
         files, notes = {}, {"encounter_key": str(max(top, U.max_key(after, "encounter_key")))}
         others = self.stored(base, FACT, months).join(changed, "encounter_id", "left_anti")
         files[FACT] = kept(FACT) | self._write_fact(others.select(*STORED_FACT.fieldNames()).unionAll(after))
+        of_month = self.stored(base, FACT, months).select("encounter_key", month_of("admission_date_key").alias("_month"))
         for name, links, order in self._links(part, new_months, dims):
-            # a link lies in the month of its encounter, so its folder tells the month
-            held = (self.log.table_with_period(base, name, schemas.MART[name], "_month", months)
-                    .join(before.select("encounter_key"), "encounter_key", "left_anti"))
-            made = U.with_new_keys(links, order, "bridge_id", int(base.notes[name]))
+            held = (self.stored(base, name, months).join(before, "encounter_key", "left_anti")
+                    .join(of_month, "encounter_key", "left"))
+            made = U.with_new_keys(links.drop("_month"), order, "bridge_id", int(base.notes[name]))
             cols = [*schemas.MART[name].fieldNames(), "_month"]
-            files[name] = kept(name) | self._write_bridge(held.select(*cols).unionAll(made.select(*cols)), name)
+            made_of_month = made.join(new_months.select("encounter_key", "_month"), "encounter_key")
+            files[name] = kept(name) | self._write_bridge(held.select(*cols).unionAll(made_of_month.select(*cols)), name)
             notes[name] = str(max(int(base.notes[name]), U.max_key(made, "bridge_id")))
         return files, notes
 
