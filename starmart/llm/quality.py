@@ -175,9 +175,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 16000, screen: float
     return OrdinalModel(np.frombuffer(found[0]["weights"], np.float32), np.array(found[0]["cuts"]))
 
 
+#: texts that are held as Python objects at once
+TEXTS = 256
+
+
 def _scored(model: OrdinalModel, texts: pa.Array) -> np.ndarray:
-    score = np.array([float(model.weights[features(t)].sum()) for t in utf8(texts)])
-    return model.tails(score.reshape(-1))
+    score = np.fromiter((float(model.weights[features(t)].sum()) for i in range(0, len(texts), TEXTS)
+                         for t in utf8(texts.slice(i, TEXTS))), float, len(texts))
+    return model.tails(score)
 
 
 def score(docs: DataFrame, model: OrdinalModel, keep_grade: int = 2, keep_from: float = 0.6) -> DataFrame:
@@ -199,16 +204,13 @@ def score(docs: DataFrame, model: OrdinalModel, keep_grade: int = 2, keep_from:
 
 
 def select_good(docs: DataFrame, model: OrdinalModel, keep_grade: int = 2, keep_from: float = 0.6) -> DataFrame:
-    """The documents that the classifier keeps, with all their columns."""
+    """The documents that the classifier keeps, with all their columns; the texts alone go to Python."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
 
-    def run(batches):
-        for batch in batches:
-            tail = _scored(shared.value, batch.column(at))[:, keep_grade - 1]
-            yield batch.filter(pa.array(tail >= keep_from))
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array(_scored(shared.value, texts)[:, keep_grade - 1] >= keep_from)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(F.arrow_udf(run, "boolean")("text"))
 
 
 def quality_grades(docs: DataFrame, labels: DataFrame, sample: int = 16000) -> DataFrame:
