@@ -7,8 +7,8 @@ refresh
    stored with the fact: new, modified and removed encounters of any age are found without a list or a window;
 2. upserts the dimensions whose extract differs from the one loaded last (by digest), adds placeholders and calendar
    days; the other dimensions keep their files;
-3. recomputes the changed encounters alone, and rewrites the months they leave or enter, fact and
-   bridges alike; all other months keep their files;
+3. recomputes the changed encounters alone, from sums that the pass of the digests has added up, and rewrites the
+   months they leave or enter, fact and bridges alike; all other months keep their files;
 4. commits all tables and the new mark as one snapshot.
 
 An encounter whose lookups fail is not in the fact, so the next refresh tries it again.
@@ -52,6 +52,13 @@ def encounter_digests(src: dict[str, DataFrame]) -> DataFrame:
     return G.content_digests(src["encounters"], "encounter_id", {t: src[t] for t in CHILDREN})
 
 
+def measured_digests(src: dict[str, DataFrame]) -> DataFrame:
+    """``encounter_digests`` with the sums and counts of ``fact.encounter_measures``, from one pass over claims and links."""
+    return G.content_digests(src["encounters"], "encounter_id", {t: src[t] for t in CHILDREN},
+                             {"total_claim": ("billing", "claim_amount"), "total_allowed": ("billing", "allowed_amount")},
+                             {"diag_count": "encounter_diagnoses", "proc_count": "encounter_procedures"})
+
+
 def dated(digests: DataFrame, day: _dt.date) -> DataFrame:
     """Digests of an extract hold as of the start of its day."""
     return digests.withColumn("version", F.lit(day.isoformat()).cast("timestamp_ntz"))
@@ -72,6 +79,8 @@ class MartLoad:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.log = Snapshots(spark, root or fresh_path(spark, "mart"))
+        #: the digests of the extract that was loaded last by a refresh
+        self.digested: DataFrame | None = None
 
     # ---- reading ----
     def stored(self, snapshot: Snapshot, name: str, periods: set[int] | None = None) -> DataFrame:
@@ -90,8 +99,9 @@ class MartLoad:
         built = FB.mart_tables(src, run_date, store=False)  # keyed rows are written by their key step
         files = {t: self.log.write(built[t], t) for t in DIMS}
         m = {t: self.log.table(Snapshot(0, files), t, schemas.MART[t]) for t in DIMS}
-        # digests join the rows before these get their keys: both lie by encounter there
-        rows = FB.fact_rows(src, m).join(dated(encounter_digests(src), run_date), "encounter_id", "left")
+        # written once: the ranges of the keys are found by a pass of their own over the rows
+        measured = materialize(dated(measured_digests(src), run_date), "digests")
+        rows = FB.fact_rows(src, m, measured=measured, carried=("digest", "version"))
         m[FACT] = schemas.conform(assign_dense_key(rows, ["encounter_id"], "encounter_key"), STORED_FACT)
         files[FACT] = self._write_fact(m[FACT].where("encounter_id IS NOT NULL"))
         keys = m[FACT].select("encounter_id", "encounter_key", month_of("admission_date_key").alias("_month"))
@@ -118,11 +128,11 @@ class MartLoad:
         return self.log.write_periods(rows.withColumnRenamed("_month", "period"), name, F.col("period"), ["bridge_id"])
 
     # ---- refresh ----
-    def changes(self, src: dict[str, DataFrame], snapshot: Snapshot | None = None) -> DataFrame:
-        """(encounter_id, change) between the extract and a snapshot (the current one)."""
+    def changes(self, src: dict[str, DataFrame], snapshot: Snapshot | None = None, digests: DataFrame | None = None) -> DataFrame:
+        """(encounter_id, change) between the extract (or its ``digests``, if they are known) and a snapshot (the current one)."""
         snapshot = snapshot or self.log.current()
         stored = self.stored(snapshot, FACT).select("encounter_id", "digest")
-        return G.changes(encounter_digests(normalize_sources(src)), stored, "encounter_id")
+        return G.changes(encounter_digests(normalize_sources(src)) if digests is None else digests, stored, "encounter_id")
 
     def refresh(self, src: dict[str, DataFrame], run_date: _dt.date) -> Snapshot:
         """The mart after the extract of ``run_date``; refuses a day before the mark."""
@@ -130,12 +140,11 @@ class MartLoad:
         if run_date.isoformat() < base.notes["mark"]:
             raise ValueError(f"the mart is loaded up to {base.notes['mark']}, the extract is of {run_date}")
         src = normalize_sources(src)
-        digests = materialize(dated(encounter_digests(src), run_date), "digests")
-        stored = self.stored(base, FACT).select("encounter_id", "digest")
-        changed = materialize(G.changes(digests, stored, "encounter_id"), "changes")
-        touched = src["encounters"].join(changed, "encounter_id", "left_semi")
+        digests = self.digested = materialize(dated(measured_digests(src), run_date), "digests")
+        changed = materialize(self.changes(src, base, digests), "changes")
+        touched = materialize(src["encounters"].join(changed, "encounter_id", "left_semi"), "changed_encounters")
         dims, files, notes = self.dimensions(base, src, run_date, touched)
-        facts, more = ({}, {}) if changed.isEmpty() else self.rewritten(base, src, dims, digests, changed)
+        facts, more = ({}, {}) if changed.isEmpty() else self.rewritten(base, src, dims, digests, changed, touched)
         return self.log.commit(base, files | facts, notes | more | {"mark": run_date.isoformat()})
 
     def dimensions(self, base: Snapshot, src: dict[str, DataFrame], run_date: _dt.date, touched: DataFrame,
@@ -166,13 +175,15 @@ class MartLoad:
         return dims, files, notes
 
     def rewritten(self, base: Snapshot, src: dict[str, DataFrame], dims: dict[str, DataFrame], digests: DataFrame,
-                  changed: DataFrame):
-        """Fact and bridges with the changed encounters computed anew: (files, notes)."""
+                  changed: DataFrame, touched: DataFrame):
+        """Fact and bridges with the changed encounters computed anew: (files, notes).
+
+        ``digests``: ``measured_digests`` of the changed encounters, or of more, with their version; ``touched``: the rows of
+        the changed encounters that are there.
+        """
         before = materialize(self.stored(base, FACT).join(changed, "encounter_id", "left_semi")
                              .select("encounter_id", "encounter_key", month_of("admission_date_key").alias("_month")), "before")
-        ids = changed.where("change <> 'removed'").select("encounter_id")
-        part = R.with_encounters(src, materialize(src["encounters"].join(ids, "encounter_id", "left_semi"), "changed_encounters"))
-        rows = FB.fact_rows(part, dims).join(digests, "encounter_id")
+        rows = FB.fact_rows(dict(src, encounters=touched), dims, measured=digests, carried=("digest", "version")).where("digest IS NOT NULL")
         rows = materialize(rows.join(before.select("encounter_id", F.col("encounter_key").alias("_key")), "encounter_id", "left"),
                            "changed_rows")
         top = int(base.notes["encounter_key"])
@@ -190,7 +201,7 @@ class MartLoad:
         others = self.stored(base, FACT, months).join(changed, "encounter_id", "left_anti")
         files[FACT] = kept(FACT) | self._write_fact(others.select(*STORED_FACT.fieldNames()).unionAll(after))
         of_month = self.stored(base, FACT, months).select("encounter_key", month_of("admission_date_key").alias("_month"))
-        for name, links, order in self._links(part, new_months, dims):
+        for name, links, order in self._links(src, new_months, dims):  # the keys leave the links of other encounters out
             held = (self.stored(base, name, months).join(before, "encounter_key", "left_anti")
                     .join(of_month, "encounter_key", "left"))
             made = U.with_new_keys(links.drop("_month"), order, "bridge_id", int(base.notes[name]))
@@ -235,7 +246,7 @@ def refreshed(spark: SparkSession, sf_dir: str, src: dict[str, DataFrame]) -> tu
 def digest_changes(spark, sf_dir, src) -> DataFrame:
     """What the refresh finds to be new, modified or removed."""
     load, before, _ = refreshed(spark, sf_dir, src)
-    return load.changes(src, before)
+    return load.changes(src, before, load.digested)
 
 
 def digest_refresh_fact(spark, sf_dir, src) -> DataFrame:

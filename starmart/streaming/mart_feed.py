@@ -91,19 +91,19 @@ class MartFeed:
         encounters = schemas.conform(met, schemas.SOURCE["encounters"])
         part = R.with_encounters(ML.normalize_sources(dict(self.src, encounters=encounters)), encounters)
         part["encounters"] = ML.normalize_sources({"encounters": encounters})["encounters"]
-        digests = ML.encounter_digests(part).join(met.select("encounter_id", F.col("changed_at").alias("version"), "_digest"), "encounter_id")
+        digests = ML.measured_digests(part).join(met.select("encounter_id", F.col("changed_at").alias("version"), "_digest"), "encounter_id")
         digests = materialize(digests, "feed_digests")
         changed = materialize(digests.where(~F.col("digest").eqNullSafe(F.col("_digest"))).select(
             "encounter_id", F.when(F.col("_digest").isNull(), "new").otherwise("modified").alias("change")), "feed_changes")
         if changed.isEmpty():
             return load.log.commit(base, files, notes)
-        touched = part["encounters"].join(changed, "encounter_id", "left_semi")
+        touched = materialize(part["encounters"].join(changed, "encounter_id", "left_semi"), "changed_encounters")
         day = _dt.date.fromisoformat(notes.get("feed:seen", base.notes.get("feed:seen", base.notes["mark"]))[:10])
         run_date = max(_dt.date.fromisoformat(base.notes["mark"]), day)
         patients = self.src["patients"].join(touched.select("patient_id").distinct(), "patient_id", "left_semi")
         dims, dim_files, dim_notes = load.dimensions(base, dict(part, patients=patients), run_date, touched,
                                                      ("dim_encounter_type", "dim_patient"))
-        facts, more = load.rewritten(base, part, dims, digests.drop("_digest"), changed)
+        facts, more = load.rewritten(base, part, dims, digests.drop("_digest"), changed, touched)
         return load.log.commit(base, files | dim_files | facts, notes | dim_notes | more)
 
 
