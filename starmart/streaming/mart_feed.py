@@ -28,7 +28,7 @@ from ..plans import mart_load as ML
 from ..plans import refresh as R
 from ..session import fresh_path
 from ..sources.snapshots import Snapshot
-from ..sources.store import materialize, write_table
+from ..sources.store import materialize, read_table, write_table
 
 EVENT = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("changed_at", T.TimestampNTZType()),
                       *schemas.SOURCE["encounters"].fields])
@@ -56,7 +56,10 @@ class MartFeed:
         base = self.load.log.current()
         if number <= int(base.notes.get("feed:batch", "-1")):
             return
-        events = materialize(batch.select(*EVENT.fieldNames()), "feed_batch")
+        # read in the load's own session: that of the batch plans without sizes, as a stream's state needs fixed partitions
+        path = fresh_path(self.load.spark, "feed_batch")
+        write_table(batch.select(*EVENT.fieldNames()), path)
+        events = read_table(self.load.spark, path, EVENT)
         newest = events.agg(F.max("changed_at")).first()[0]
         seen = max(filter(None, [newest and newest.isoformat(), base.notes.get("feed:seen")]), default=None)
         notes = {"feed:batch": str(number)} | ({"feed:seen": seen} if seen else {})
@@ -81,6 +84,8 @@ class MartFeed:
 
     def _load(self, base: Snapshot, events: DataFrame, files: dict, notes: dict[str, str]) -> Snapshot:
         load = self.load
+        if events.isEmpty():
+            return load.log.commit(base, files, notes)
         newest = (events.where(F.col("encounter_id").isNotNull()).groupBy("encounter_id")
                   .agg(F.max_by(F.struct(*[c for c in EVENT.fieldNames() if c != "encounter_id"]),
                                 F.struct(F.col("changed_at").isNotNull(), "changed_at", "event_id")).alias("e"))
@@ -91,6 +96,8 @@ class MartFeed:
         encounters = schemas.conform(met, schemas.SOURCE["encounters"])
         part = R.with_encounters(ML.normalize_sources(dict(self.src, encounters=encounters)), encounters)
         part["encounters"] = ML.normalize_sources({"encounters": encounters})["encounters"]
+        for t in ML.CHILDREN:  # digests, sums and bridges read them
+            part[t] = materialize(part[t], f"feed_{t}")
         digests = ML.measured_digests(part).join(met.select("encounter_id", F.col("changed_at").alias("version"), "_digest"), "encounter_id")
         digests = materialize(digests, "feed_digests")
         changed = materialize(digests.where(~F.col("digest").eqNullSafe(F.col("_digest"))).select(

@@ -9,6 +9,7 @@ from starmart.plans import fact as FB
 from starmart.plans import mart_load as ML
 from starmart.session import fresh_path
 from starmart.sources.snapshots import Snapshots
+from starmart.streaming.mart_feed import EVENT, MartFeed
 
 
 def test_sums_of_the_digest_pass_equal_the_measures(spark):
@@ -57,3 +58,14 @@ def test_a_refresh_sums_claims_in_the_pass_of_the_digests(spark, seed, monkeypat
     load.full_load(ML.earlier_extract(seed), dt.date(2025, 1, 1))
     load.refresh(seed, dt.date(2025, 2, 1))
     assert passes == ["digests"] * 2
+
+
+def test_an_empty_batch_reads_no_table(spark, seed, monkeypatch):
+    import datetime as dt
+    load = ML.MartLoad(spark)
+    before = load.full_load(seed, dt.date(2025, 1, 1))
+    feed = MartFeed(load, seed, fresh_path(spark, "feed"))
+    monkeypatch.setattr(load, "stored", lambda *a, **k: 1 / 0)
+    feed.on_batch(spark.createDataFrame([], EVENT), 4)
+    after = load.log.current()
+    assert after.notes["feed:batch"] == "4" and after.files[ML.FACT] == before.files[ML.FACT]
